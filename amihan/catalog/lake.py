@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from functools import cached_property
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -148,3 +149,11 @@ class Lake:
         return facts.fct_branch_compliance_summary(
             self.branches, self.compliance, self.covered, self.suspicious, self.params
         )
+
+
+_LAKES: WeakKeyDictionary[SparkSession, dict[str, Lake]] = WeakKeyDictionary()
+
+
+def lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The lake of a session and folder, built once: its tables are plans, not data."""
+    return _LAKES.setdefault(spark, {}).setdefault(sf_dir, Lake(spark, sf_dir))

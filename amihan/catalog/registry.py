@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amihan.catalog.check_sql import RELATIONS
-from amihan.catalog.lake import Lake
+from amihan.catalog.lake import Lake, lake
 
 _SPARK_SHOW: dict[str, Callable[[Column], Column]] = {
     "": lambda c: c,
@@ -45,7 +45,7 @@ class Query:
     sql: str | None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = self.build(Lake(spark, sf_dir))
+        df = self.build(lake(spark, sf_dir))
         return df.select(*[_SPARK_SHOW[kind](F.col(f"`{name}`")).alias(name) for name, kind in self.columns])
 
     def check_sql(self) -> str | None:

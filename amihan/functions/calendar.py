@@ -52,8 +52,17 @@ def loaded_at_manila(params: AmlParams) -> Column:
 
 
 def manila_instant(day: Column, clock: Column) -> Column:
-    """The instant of a Manila date and time; free of the session time zone."""
-    return F.concat(day.cast("string"), F.lit(" "), clock, F.lit(f" {MANILA}")).cast("timestamp")
+    """The instant of a Manila date and ``HH:mm:ss[.ffffff]`` time.
+
+    Free of the session time zone.  Whole-number arithmetic instead of a
+    timestamp parsed from text: several times cheaper per row.
+    """
+    hours = F.substring(clock, 1, 2).cast("long")
+    minutes = F.substring(clock, 4, 2).cast("long")
+    seconds = F.substring(clock, 7, 9).cast("decimal(8,6)")
+    micros = (F.unix_date(day).cast("long") * 86_400 + hours * 3_600 + minutes * 60) * 1_000_000
+    wall_clock = F.timestamp_micros(micros + (seconds * 1_000_000).cast("long"))
+    return F.to_utc_timestamp(wall_clock, MANILA)
 
 
 def manila_wall_clock(instant: Column) -> Column:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amihan.functions.calendar import run_manila
 from amihan.functions.keys import surrogate_key
 from amihan.functions.scoring import confidence_label
-from amihan.operators.customer_day import (
-    KEYS as DAY_KEYS,
-)
+from amihan.operators.customer_day import KEYS as DAY_KEYS
 from amihan.operators.customer_day import (
     cash_debit,
     customer_day,
@@ -151,18 +152,23 @@ def int_str_candidates(
     )
 
     nothing = F.array().cast(f"array<{_SIGNAL_TYPE}>")
+    is_structuring, is_pep = F.col("_small_cash") & F.col("_structuring"), F.col("_pep") & large
+    is_listed = F.col("_known") & (F.size("_jurisdictions") > 0)
+    flags = [is_structuring, is_listed, is_pep, F.col("_round")]
     parts = [
-        _one(F.col("_small_cash") & F.col("_structuring"), STRUCTURING_CODE, params.structuring_score, F.lit(None)),
-        F.when(F.col("_known"), F.col("_jurisdictions")).otherwise(nothing),
-        _one(F.col("_pep") & large, PEP_CODE, params.pep_signal_score, F.col("amount_php")),
+        _one(is_structuring, STRUCTURING_CODE, params.structuring_score, F.lit(None)),
+        F.when(is_listed, F.col("_jurisdictions")).otherwise(nothing),
+        _one(is_pep, PEP_CODE, params.pep_signal_score, F.col("amount_php")),
         _one(F.col("_round"), ROUND_CODE, params.round_score, F.col("amount_php")),
     ]
     if with_layering:
+        flags.append(F.col("_layering"))
         parts.append(_one(F.col("_layering"), LAYERING_CODE, params.layering_score, F.col("_net_pct")))
+    # The flags decide first; arrays are built for signaled rows only.
     signaled = (
         join_groups(rows, profile, DAY_KEYS, F.col("txn_id"), hot)
+        .filter(reduce(or_, flags))
         .withColumn("_signals", F.array_compact(F.concat(*parts)))
-        .filter(F.size("_signals") > 0)
     )
     codes = F.array_distinct(F.col("_signals.code"))
     aggregated = signaled.select(

@@ -6,11 +6,9 @@ can be stated alike in other SQL engines.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from amihan.params import AmlParams
 
@@ -18,40 +16,35 @@ STAR_PARAMS = AmlParams(
     as_of=date(2026, 6, 30),
     run_ts=datetime(2026, 6, 30, 2, 0, tzinfo=timezone.utc),
 )
-FIRST_DAY = date(2026, 6, 1)
-
-# Fixed values of the mapping.
-BRANCHES = (
-    "MKT001", "MKT002", "CEB001", "CEB002", "DVO001", "CDO001",
-    "ILO001", "LEG001", "PUA001", "BAG001", "TAC001", "ZAM001",
-)
-BANKS = ("BDO", "BPI", "METROBANK", "UNIONBANK", "EASTWEST", "SYRIA COMMERCIAL", None)
-TYPES = ("CASH",) * 6 + ("RTGS", "PESONet", "InstaPay", "SWIFT")
-CHANNELS = ("BRANCH", "ATM", "ONLINE", "MOBILE")
-ROUND_AMOUNTS = (50_000, 100_000, 500_000, 1_000_000, 5_000_000)
-CUSTOMER_TYPES = ("INDIVIDUAL", "CORPORATE", "SOLEPROPRIETOR", "NGO", "GOVERNMENT")
-SEGMENTS = ("RETAIL", "SME", "CORPORATE")
-NATIONALITIES = ("KP", "IR", "BY", "TR", "PA")
-STATUSES = ("ACTIVE", "DORMANT", "RESTRICTED", "FROZEN", "CLOSED")
-DOCUMENT_TYPES = ("PASSPORT", "NATIONAL_ID", "DRIVERS_LICENSE", "POSTAL_ID")
-SOURCES = ("AMLC_LIST", "UN_SANCTIONS", "OFAC_SDN", "INTERNAL_BLACKLIST")
-MATCHES = ("NO_MATCH", "POSSIBLE_MATCH", "CONFIRMED_MATCH", "FALSE_POSITIVE")
 
+TODAY = f"date '{STAR_PARAMS.as_of}'"
 
-def _pick(values: Sequence, index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
-
+# Fixed values of the mapping: lists as SQL arrays, picked by a 0-based index.
+BRANCHES = (
+    "array('MKT001', 'MKT002', 'CEB001', 'CEB002', 'DVO001', 'CDO001', "
+    "'ILO001', 'LEG001', 'PUA001', 'BAG001', 'TAC001', 'ZAM001')"
+)
+BANKS = "array('BDO', 'BPI', 'METROBANK', 'UNIONBANK', 'EASTWEST', 'SYRIA COMMERCIAL', null)"
+TYPES = "array('CASH', 'CASH', 'CASH', 'CASH', 'CASH', 'CASH', 'RTGS', 'PESONet', 'InstaPay', 'SWIFT')"
+CHANNELS = "array('BRANCH', 'ATM', 'ONLINE', 'MOBILE')"
+ROUND_AMOUNTS = "array(50000, 100000, 500000, 1000000, 5000000)"
+CUSTOMER_TYPES = "array('INDIVIDUAL', 'CORPORATE', 'SOLEPROPRIETOR', 'NGO', 'GOVERNMENT')"
+SEGMENTS = "array('RETAIL', 'SME', 'CORPORATE')"
+NATIONALITIES = "array('KP', 'IR', 'BY', 'TR', 'PA')"
+STATUSES = "array('ACTIVE', 'DORMANT', 'RESTRICTED', 'FROZEN', 'CLOSED')"
+DOCUMENT_TYPES = "array('PASSPORT', 'NATIONAL_ID', 'DRIVERS_LICENSE', 'POSTAL_ID')"
+SOURCES = "array('AMLC_LIST', 'UN_SANCTIONS', 'OFAC_SDN', 'INTERNAL_BLACKLIST')"
+MATCHES = "array('NO_MATCH', 'POSSIBLE_MATCH', 'CONFIRMED_MATCH', 'FALSE_POSITIVE')"
 
-def _div(value: Column, by: int) -> Column:
-    return F.call_function("div", value, F.lit(by))
+AUDIT = ("cast(null as timestamp) as created_at", "cast(null as timestamp) as updated_at")
 
 
-def _customer_id(key: Column) -> Column:
-    return F.concat(F.lit("CUST"), F.lpad(key.cast("string"), 12, "0"))
+def _pick(values: str, index: str) -> str:
+    return f"get({values}, cast({index} as int))"
 
 
-def _null(kind: str) -> Column:
-    return F.lit(None).cast(kind)
+def _padded(prefix: str, key: str, width: int = 12) -> str:
+    return f"'{prefix}' || lpad(cast({key} as string), {width}, '0')"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,117 +57,96 @@ def raw_transactions(spark: SparkSession, sf_dir: str, folded: bool = True) -> D
     ``folded`` moves all dates into one month, dense enough for short
     windows; otherwise the order dates are kept, which span years.
     """
-    o = F.col("o_orderkey")
-    amount = F.col("o_totalprice").cast("decimal(19,2)")
-    tens = _div(o, 10)
-    amount_php = (
-        F.when(o % 50 == 0, _pick(ROUND_AMOUNTS, _div(o, 50) % 5).cast("decimal(19,2)"))
-        .when(o % 4 == 0, amount * 2)
-        .when(o % 10 == 9, amount * 3)
-        .otherwise(amount)
-        .cast("decimal(15,2)")
+    day = "date_add(date '2026-06-01', cast((o * 7) % 30 as int))" if folded else "cast(ordered as date)"
+    orders = _read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as o",
+        "o_custkey as c",
+        "o_orderdate as ordered",
+        "cast(o_totalprice as decimal(19,2)) as price",
     )
-    day = F.date_add(F.lit(FIRST_DAY), ((o * 7) % 30).cast("int")) if folded else F.col("o_orderdate").cast("date")
-    return _read(spark, sf_dir, "orders").select(
-        F.concat(F.lit("T"), F.lpad(o.cast("string"), 12, "0")).alias("txn_id"),
-        _customer_id(F.col("o_custkey")).alias("customer_id"),
-        _pick(BRANCHES, F.col("o_custkey") % 12).alias("branch_code"),
-        day.alias("txn_date_ph"),
-        F.lit("10:00:00").alias("txn_time_ph"),
-        _pick(TYPES, o % 10).alias("txn_type"),
-        _pick(CHANNELS, o % 4).alias("txn_channel"),
-        F.when(tens % 10 < 6, "DEBIT").otherwise("CREDIT").alias("transaction_direction"),
-        amount_php.alias("amount_local"),
-        F.when((o % 11 == 0) | (o % 10 == 9), "USD").otherwise("PHP").alias("currency_code"),
-        amount_php.alias("amount_php"),
-        _null("string").alias("counterparty_name"),
-        F.concat(F.lit("1234"), F.lpad((o % 500).cast("string"), 10, "0")).alias("counterparty_account"),
-        _pick(BANKS, o % 7).alias("counterparty_bank"),
-        _null("string").alias("purpose_code"),
-        F.when(o % 13 == 0, "Remit to Iran")
-        .when(o % 17 == 0, "REMIT TO TURKEY")
-        .otherwise("Fund transfer")
-        .alias("purpose_description"),
-        F.concat(F.lit("REF"), o.cast("string")).alias("reference_number"),
-        F.lit("TEMENOS").alias("source_system"),
-        F.lit("B1").alias("batch_id"),
-        _null("timestamp").alias("created_at"),
-        _null("timestamp").alias("updated_at"),
+    amount = f"""cast(case when o % 50 = 0 then {_pick(ROUND_AMOUNTS, "(o div 50) % 5")}
+        when o % 4 = 0 then price * 2 when o % 10 = 9 then price * 3 else price end as decimal(15,2))"""
+    return orders.selectExpr(
+        f"{_padded('T', 'o')} as txn_id",
+        f"{_padded('CUST', 'c')} as customer_id",
+        f"{_pick(BRANCHES, 'c % 12')} as branch_code",
+        f"{day} as txn_date_ph",
+        "'10:00:00' as txn_time_ph",
+        f"{_pick(TYPES, 'o % 10')} as txn_type",
+        f"{_pick(CHANNELS, 'o % 4')} as txn_channel",
+        "case when (o div 10) % 10 < 6 then 'DEBIT' else 'CREDIT' end as transaction_direction",
+        f"{amount} as amount_local",
+        "case when o % 11 = 0 or o % 10 = 9 then 'USD' else 'PHP' end as currency_code",
+        f"{amount} as amount_php",
+        "cast(null as string) as counterparty_name",
+        f"{_padded('1234', 'o % 500', 10)} as counterparty_account",
+        f"{_pick(BANKS, 'o % 7')} as counterparty_bank",
+        "cast(null as string) as purpose_code",
+        "case when o % 13 = 0 then 'Remit to Iran' when o % 17 = 0 then 'REMIT TO TURKEY' else 'Fund transfer' end "
+        "as purpose_description",
+        "'REF' || o as reference_number",
+        "'TEMENOS' as source_system",
+        "'B1' as batch_id",
+        *AUDIT,
     )
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    today = F.lit(STAR_PARAMS.as_of)
-    is_pep = k % 20 == 0
-    padded = F.lpad(k.cast("string"), 10, "0")
-    nation = F.col("c_nationkey")
-    return _read(spark, sf_dir, "customer").select(
-        _customer_id(k).alias("customer_id"),
-        F.col("c_name").alias("customer_name"),
-        _pick(CUSTOMER_TYPES, k % 5).alias("customer_type"),
-        padded.alias("sss_number"),
-        padded.alias("tin_number"),
-        padded.alias("philhealth_id"),
-        _null("date").alias("date_of_birth"),
-        F.coalesce(F.when(nation >= 0, _pick(NATIONALITIES, nation)), F.lit("PH")).alias("nationality"),
-        is_pep.alias("is_pep"),
-        F.when(is_pep, F.date_sub(today, 100)).alias("pep_determination_date"),
-        F.when(is_pep | (k % 10 == 9), "HIGH")
-        .when((k % 10).between(6, 8), "MEDIUM")
-        .otherwise("LOW")
-        .alias("risk_tier"),
-        F.coalesce(_pick(STATUSES, k % 25), F.lit("ACTIVE")).alias("account_status"),
-        F.date_sub(today, (365 + k % 1460).cast("int")).alias("account_opened_date"),
-        _pick(BRANCHES, k % 12).alias("branch_code"),
-        _pick(SEGMENTS, k % 3).alias("customer_segment"),
-        F.lit("COMPLETE").alias("kyc_status"),
-        F.date_sub(today, ((k * 37) % 2200).cast("int")).alias("kyc_last_update_date"),
-        _null("timestamp").alias("created_at"),
-        _null("timestamp").alias("updated_at"),
+    customers = _read(spark, sf_dir, "customer").selectExpr("c_custkey as k", "c_name", "c_nationkey as nation")
+    return customers.selectExpr(
+        f"{_padded('CUST', 'k')} as customer_id",
+        "c_name as customer_name",
+        f"{_pick(CUSTOMER_TYPES, 'k % 5')} as customer_type",
+        f"{_padded('', 'k', 10)} as sss_number",
+        f"{_padded('', 'k', 10)} as tin_number",
+        f"{_padded('', 'k', 10)} as philhealth_id",
+        "cast(null as date) as date_of_birth",
+        f"coalesce({_pick(NATIONALITIES, 'nation')}, 'PH') as nationality",
+        "k % 20 = 0 as is_pep",
+        f"case when k % 20 = 0 then date_sub({TODAY}, 100) end as pep_determination_date",
+        "case when k % 20 = 0 or k % 10 = 9 then 'HIGH' when k % 10 between 6 and 8 then 'MEDIUM' else 'LOW' end "
+        "as risk_tier",
+        f"coalesce({_pick(STATUSES, 'k % 25')}, 'ACTIVE') as account_status",
+        f"date_sub({TODAY}, cast(365 + k % 1460 as int)) as account_opened_date",
+        f"{_pick(BRANCHES, 'k % 12')} as branch_code",
+        f"{_pick(SEGMENTS, 'k % 3')} as customer_segment",
+        "'COMPLETE' as kyc_status",
+        f"date_sub({TODAY}, cast((k * 37) % 2200 as int)) as kyc_last_update_date",
+        *AUDIT,
     )
 
 
 def raw_kyc_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up to four documents per customer; some customers have none."""
-    k, i = F.col("c_custkey"), F.col("i")
-    today = F.lit(STAR_PARAMS.as_of)
-    expiry = (
-        F.when((k + i) % 20 == 0, _null("date"))
-        .when((k * i) % 7 == 0, F.date_sub(today, (1 + k % 365).cast("int")))
-        .otherwise(F.date_add(today, ((k * 13 + i * 50) % 1500).cast("int")))
-    )
-    numbered = _read(spark, sf_dir, "customer").select(
-        "c_custkey", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("i")
-    )
-    return numbered.filter(((k + i) % 3 != 0) & (k % 30 != 7)).select(
-        F.concat(F.lit("D"), F.lpad(k.cast("string"), 12, "0"), F.lit("-"), i.cast("string")).alias("document_id"),
-        _customer_id(k).alias("customer_id"),
-        _pick(DOCUMENT_TYPES, i - 1).alias("document_type"),
-        F.concat(F.lit("N"), k.cast("string"), i.cast("string")).alias("document_number"),
-        F.date_sub(today, (30 + k % 1000).cast("int")).alias("issue_date"),
-        expiry.alias("expiry_date"),
-        F.lit("PH").alias("issuing_country"),
-        F.lit("DFA").alias("issuing_authority"),
-        _null("timestamp").alias("created_at"),
-        _null("timestamp").alias("updated_at"),
+    """Up to four documents per customer; in this mapping some have none."""
+    numbered = _read(spark, sf_dir, "customer").selectExpr("c_custkey as k", "explode(sequence(1, 4)) as i")
+    owned = numbered.filter("(k + i) % 3 <> 0 and k % 30 <> 7")
+    return owned.selectExpr(
+        f"{_padded('D', 'k')} || '-' || i as document_id",
+        f"{_padded('CUST', 'k')} as customer_id",
+        f"{_pick(DOCUMENT_TYPES, 'i - 1')} as document_type",
+        "'N' || k || i as document_number",
+        f"date_sub({TODAY}, cast(30 + k % 1000 as int)) as issue_date",
+        f"""case when (k + i) % 20 = 0 then null
+            when (k * i) % 7 = 0 then date_sub({TODAY}, cast(1 + k % 365 as int))
+            else date_add({TODAY}, cast((k * 13 + i * 50) % 1500 as int)) end as expiry_date""",
+        "'PH' as issuing_country",
+        "'DFA' as issuing_authority",
+        *AUDIT,
     )
 
 
 def raw_watchlist_screening(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Screening results; a quarter of the customers were screened."""
-    k = F.col("c_custkey")
-    confidence = ((k * 7) % 101).cast("decimal(5,2)")
-    return _read(spark, sf_dir, "customer").filter(k % 4 == 0).select(
-        F.concat(F.lit("W"), F.lpad(k.cast("string"), 12, "0")).alias("screening_id"),
-        _customer_id(k).alias("customer_id"),
-        F.date_sub(F.lit(STAR_PARAMS.as_of), (k % 60).cast("int")).alias("screening_date"),
-        _pick(SOURCES, _div(k, 4) % 4).alias("watchlist_source"),
-        _pick(MATCHES, _div(k, 16) % 4).alias("match_status"),
-        F.col("c_name").alias("matched_name"),
-        confidence.alias("match_score"),
-        confidence.alias("match_confidence_pct"),
-        _null("string").alias("notes"),
-        _null("timestamp").alias("created_at"),
-        _null("timestamp").alias("updated_at"),
+    """Screening results; in this mapping a quarter of the customers were screened."""
+    screened = _read(spark, sf_dir, "customer").selectExpr("c_custkey as k", "c_name").filter("k % 4 = 0")
+    return screened.selectExpr(
+        f"{_padded('W', 'k')} as screening_id",
+        f"{_padded('CUST', 'k')} as customer_id",
+        f"date_sub({TODAY}, cast(k % 60 as int)) as screening_date",
+        f"{_pick(SOURCES, '(k div 4) % 4')} as watchlist_source",
+        f"{_pick(MATCHES, '(k div 16) % 4')} as match_status",
+        "c_name as matched_name",
+        "cast((k * 7) % 101 as decimal(5,2)) as match_score",
+        "cast((k * 7) % 101 as decimal(5,2)) as match_confidence_pct",
+        "cast(null as string) as notes",
+        *AUDIT,
     )
