@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,24 +21,27 @@ from amihan.operators.customer_day import (
 )
 from amihan.operators.layering import LAYERING_CODE, layering_windows
 from amihan.operators.signals import (
+    BLACKLIST_CODE,
+    GREYLIST_CODE,
     KEYS,
     PEP_CODE,
     ROUND_CODE,
     is_round_cash,
-    jurisdiction_hits,
+    jurisdiction_hit,
 )
 from amihan.operators.skew import join_groups
 from amihan.operators.structuring import STRUCTURING_CODE, is_structuring_row
 from amihan.params import AmlParams
-from amihan.sources.seeds import Seeds
+from amihan.sources.seeds import Jurisdiction, Seeds
 from amihan.sources.sinks import rows_with_new_keys
 
-_SIGNAL_TYPE = "struct<code:string,score:int,detail:string>"
+# Jurisdictions per bit mask.
+_MASK_BITS = 62
 
 
 def _text_or_null(parts: Column) -> Column:
     """Sorted parts joined with '; '; NULL when there are none."""
-    return F.when(F.size(parts) > 0, F.array_join(F.array_sort(parts), "; "))
+    return F.when(F.size(parts) > 0, F.array_join(F.sort_array(parts), "; "))
 
 
 def agg_signals(signals: DataFrame) -> DataFrame:
@@ -54,7 +58,7 @@ def agg_signals(signals: DataFrame) -> DataFrame:
         )
         .select(
             *KEYS,
-            F.array_sort("_codes").alias("str_indicators"),
+            F.sort_array("_codes").alias("str_indicators"),
             F.size("_codes").cast("long").alias("indicator_count"),
             "max_risk_score",
             _text_or_null(F.col("_details")).alias("signal_details"),
@@ -87,11 +91,49 @@ def as_candidates(aggregated: DataFrame, params: AmlParams, existing: DataFrame
     return rows_with_new_keys(candidates, existing, ["str_candidate_id"]).select(*candidates.columns)
 
 
-def _one(condition: Column, code: str, score: int, detail: Column) -> Column:
-    signal = F.struct(
-        F.lit(code).alias("code"), F.lit(score).alias("score"), detail.cast("string").alias("detail")
-    ).cast(_SIGNAL_TYPE)
-    return F.array(F.when(condition, signal))
+def _is_black(jurisdiction: Jurisdiction) -> bool:
+    return jurisdiction.fatf_list_type == "BLACKLIST"
+
+
+def jurisdiction_masks(jurisdictions: Sequence[Jurisdiction]) -> dict[str, Column]:
+    """The matched jurisdictions of a row as bits, a number per list part.
+
+    Numbers travel through the shuffle instead of arrays of texts.
+    """
+    masks = {}
+    for start in range(0, len(jurisdictions), _MASK_BITS):
+        part = jurisdictions[start : start + _MASK_BITS]
+        bits = [F.when(jurisdiction_hit(j), F.lit(1 << i)).otherwise(0).cast("long") for i, j in enumerate(part)]
+        masks[f"_listed{start // _MASK_BITS}"] = reduce(add, bits)
+    return masks
+
+
+def any_bit(jurisdictions: Sequence[Jurisdiction], wanted: Callable[[Jurisdiction], bool]) -> Column:
+    """Whether one of the wanted jurisdictions is among the matched ones."""
+    tests = []
+    for start in range(0, len(jurisdictions), _MASK_BITS):
+        part = jurisdictions[start : start + _MASK_BITS]
+        bits = sum(1 << i for i, j in enumerate(part) if wanted(j))
+        if bits:
+            tests.append(F.col(f"_listed{start // _MASK_BITS}").bitwiseAND(F.lit(bits).cast("long")) != 0)
+    return reduce(or_, tests) if tests else F.lit(False)
+
+
+def matched_names(jurisdictions: Sequence[Jurisdiction]) -> Column:
+    """The country names of the matched jurisdictions."""
+    parts = []
+    for start in range(0, len(jurisdictions), _MASK_BITS):
+        part = jurisdictions[start : start + _MASK_BITS]
+        mask = F.col(f"_listed{start // _MASK_BITS}")
+        entries = F.array(
+            *[
+                F.struct(F.lit(1 << i).cast("long").alias("bit"), F.lit(j.country_name).alias("name"))
+                for i, j in enumerate(part)
+            ]
+        )
+        hit = F.filter(entries, lambda e: mask.bitwiseAND(e["bit"]) != 0)  # noqa: B023
+        parts.append(F.transform(hit, lambda e: e["name"]))
+    return F.concat(*parts) if parts else F.array().cast("array<string>")
 
 
 def customer_day_profile(
@@ -136,46 +178,56 @@ def int_str_candidates(
     with_layering = signed_net or params.layering_max_net_ratio > 1
     profile = customer_day_profile(daily, customers, params, with_layering, signed_net)
 
-    any_jurisdiction, jurisdiction_signals = jurisdiction_hits(seeds.jurisdictions, params)
+    masks = jurisdiction_masks(seeds.jurisdictions)
+    listed = reduce(or_, [jurisdiction_hit(j) for j in seeds.jurisdictions], F.lit(False))
     small_cash = cash_debit() & is_structuring_row(params)
     large = F.col("amount_php") >= params.pep_min_amount
-    round_cash = is_round_cash(params)
     rows = transactions.filter(F.col("amount_php") > 0)
     if not with_layering:
-        rows = rows.filter(small_cash | any_jurisdiction | large | round_cash)
+        # Cheap tests first; text is searched only where they fail.
+        rows = rows.filter(small_cash | large | is_round_cash(params) | listed)
     rows = rows.select(
         *KEYS,
         "amount_php",
         small_cash.alias("_small_cash"),
-        round_cash.alias("_round"),
-        jurisdiction_signals.cast(f"array<{_SIGNAL_TYPE}>").alias("_jurisdictions"),
+        is_round_cash(params).alias("_round"),
+        *[mask.alias(name) for name, mask in masks.items()],
     )
 
-    nothing = F.array().cast(f"array<{_SIGNAL_TYPE}>")
-    is_structuring, is_pep = F.col("_small_cash") & F.col("_structuring"), F.col("_pep") & large
-    is_listed = F.col("_known") & (F.size("_jurisdictions") > 0)
-    flags = [is_structuring, is_listed, is_pep, F.col("_round")]
-    parts = [
-        _one(is_structuring, STRUCTURING_CODE, params.structuring_score, F.lit(None)),
-        F.when(is_listed, F.col("_jurisdictions")).otherwise(nothing),
-        _one(is_pep, PEP_CODE, params.pep_signal_score, F.col("amount_php")),
-        _one(F.col("_round"), ROUND_CODE, params.round_score, F.col("amount_php")),
-    ]
+    # One flag per indicator, listed in text order of the codes.
+    known, jurisdictions = F.col("_known"), seeds.jurisdictions
+    indicators = {
+        BLACKLIST_CODE: (known & any_bit(jurisdictions, _is_black), params.blacklist_score),
+        GREYLIST_CODE: (known & any_bit(jurisdictions, lambda j: not _is_black(j)), params.greylist_score),
+        PEP_CODE: (F.col("_pep") & large, params.pep_signal_score),
+        ROUND_CODE: (F.col("_round"), params.round_score),
+        STRUCTURING_CODE: (F.col("_small_cash") & F.col("_structuring"), params.structuring_score),
+    }
     if with_layering:
-        flags.append(F.col("_layering"))
-        parts.append(_one(F.col("_layering"), LAYERING_CODE, params.layering_score, F.col("_net_pct")))
-    # The flags decide first; arrays are built for signaled rows only.
-    signaled = (
-        join_groups(rows, profile, DAY_KEYS, F.col("txn_id"), hot)
-        .filter(reduce(or_, flags))
-        .withColumn("_signals", F.array_compact(F.concat(*parts)))
+        indicators[LAYERING_CODE] = (F.col("_layering"), params.layering_score)
+    flags = {code: flag for code, (flag, _) in indicators.items()}
+    # One number instead of a disjunction: the optimizer would take an OR apart
+    # and repeat its left-side terms, text search included, below the join.
+    any_flag = F.greatest(*[F.when(flag, F.lit(1)).otherwise(0) for flag in flags.values()]) > 0
+    signaled = join_groups(rows, profile, DAY_KEYS, F.col("txn_id"), hot).filter(any_flag)
+
+    codes = F.array_compact(F.array(*[F.when(flags[code], code) for code in sorted(flags)]))
+    scores = [F.when(flag, F.lit(score)).otherwise(0) for flag, score in indicators.values()]
+    texts = [F.when(flags[PEP_CODE] | flags[ROUND_CODE], F.col("amount_php").cast("string"))]
+    if with_layering:
+        texts.append(F.when(flags[LAYERING_CODE], F.col("_net_pct").cast("string")))
+    countries = F.when(known, matched_names(jurisdictions)).otherwise(F.array().cast("array<string>"))
+    described = signaled.select(
+        *KEYS,
+        codes.alias("str_indicators"),
+        F.greatest(*scores).alias("max_risk_score"),
+        F.array_distinct(F.array_compact(F.concat(countries, F.array(*texts)))).alias("_details"),
     )
-    codes = F.array_distinct(F.col("_signals.code"))
-    aggregated = signaled.select(
+    aggregated = described.select(
         *KEYS,
-        F.array_sort(codes).alias("str_indicators"),
-        F.size(codes).cast("long").alias("indicator_count"),
-        F.array_max(F.col("_signals.score")).alias("max_risk_score"),
-        _text_or_null(F.array_distinct(F.array_compact(F.col("_signals.detail")))).alias("signal_details"),
+        "str_indicators",
+        F.size("str_indicators").cast("long").alias("indicator_count"),
+        "max_risk_score",
+        _text_or_null(F.col("_details")).alias("signal_details"),
     )
     return as_candidates(aggregated, params, existing)

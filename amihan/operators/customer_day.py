@@ -51,6 +51,19 @@ def last_days(days: int) -> WindowSpec:
     return Window.partitionBy("customer_id").orderBy(F.unix_date("txn_date_ph")).rangeBetween(-days, 0)
 
 
+def long_sum(value: Column, days: int) -> Column:
+    """The sum over the current date and the ``days`` dates before it.
+
+    A sliding frame is summed anew for every row, so a long one costs its
+    length.  The difference of two running sums costs the same for any
+    length.
+    """
+    ordered = Window.partitionBy("customer_id").orderBy(F.unix_date("txn_date_ph"))
+    until_now = F.sum(value).over(ordered.rangeBetween(Window.unboundedPreceding, 0))
+    before = F.sum(value).over(ordered.rangeBetween(Window.unboundedPreceding, -days - 1))
+    return F.when(before.isNull(), until_now).otherwise(until_now - before)
+
+
 def structuring_windows(daily: DataFrame, params: AmlParams) -> DataFrame:
     """Add the rolling cash-debit count, sum and first date."""
     w = last_days(params.structuring_days)
@@ -73,7 +86,6 @@ def velocity_windows(daily: DataFrame, params: AmlParams) -> DataFrame:
     as a pair of whole numbers so that comparing and rounding are exact.
     """
     w = last_days(params.layering_days)
-    long_w = last_days(params.velocity_days)
     n = F.col("day_count").cast("decimal(18,0)")
     return daily.withColumns(
         {
@@ -81,8 +93,8 @@ def velocity_windows(daily: DataFrame, params: AmlParams) -> DataFrame:
             "amount_out_48h": F.sum("day_out").over(w).cast("decimal(29,2)"),
             "net_amount_48h": F.sum("day_total").over(w).cast("decimal(29,2)"),
             "txn_count_48h": F.sum("day_count").over(w),
-            "_squares_90d": F.sum(n * n).over(long_w).cast("decimal(36,0)"),
-            "_count_90d": F.sum("day_count").over(long_w),
+            "_squares_90d": long_sum(n * n, params.velocity_days).cast("decimal(36,0)"),
+            "_count_90d": long_sum(F.col("day_count"), params.velocity_days),
         }
     ).withColumn("avg_daily_velocity_90d", rounded_ratio(F.col("_squares_90d"), F.col("_count_90d"), 2))
 
