@@ -70,7 +70,7 @@ def run_daily(
     )
     out["int_str_candidates"] = candidates
 
-    # Gold.
+    # Gold.  Facts are sorted within files by the date that reports filter on.
     branches = put("gold", "dim_branches", dimensions.dim_branches(seeds.branches, params))
     calendar = put("gold", "dim_date", dimensions.dim_date(spark, params, seeds.holidays))
     put("gold", "dim_customers", dimensions.dim_customers(customers, risk, params))
@@ -78,11 +78,13 @@ def run_daily(
         "gold",
         "fct_covered_transactions",
         facts.fct_covered_transactions(ctr, branches, calendar, seeds.holidays, params),
+        "txn_date_ph",
     )
     suspicious = put(
         "gold",
         "fct_suspicious_transactions",
         facts.fct_suspicious_transactions(candidates, txns, seeds.indicators, seeds.holidays, params),
+        "str_determination_ts",
     )
     compliance = put(
         "gold",

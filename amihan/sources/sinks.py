@@ -84,14 +84,11 @@ def merge_customers(current: DataFrame, incoming: DataFrame) -> DataFrame:
     Both sides hold one row per customer.  Write the result to a new path,
     never over ``current``.
     """
-    cur, inc = current.alias("cur"), one_per_key(incoming, ["customer_id"]).alias("inc")
     is_known = F.col("cur._known").isNotNull()
     is_incoming = F.col("inc._known").isNotNull()
-    joined = cur.withColumn("_known", F.lit(True)).alias("cur").join(
-        inc.withColumn("_known", F.lit(True)).alias("inc"),
-        F.col("cur.customer_id") == F.col("inc.customer_id"),
-        "full_outer",
-    )
+    old_rows = current.withColumn("_known", F.lit(True)).alias("cur")
+    new_rows = one_per_key(incoming, ["customer_id"]).withColumn("_known", F.lit(True)).alias("inc")
+    joined = old_rows.join(new_rows, F.col("cur.customer_id") == F.col("inc.customer_id"), "full_outer")
 
     def pick(name: str):
         old, new = F.col(f"cur.{name}"), F.col(f"inc.{name}")

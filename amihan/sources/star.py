@@ -1,7 +1,9 @@
 """Landing tables derived from a star schema (``orders``, ``customer``).
 
 The mapping is plain integer arithmetic per row, so it adds no shuffle and
-can be stated alike in other SQL engines.
+can be stated alike in other SQL engines.  All orders and customers take part;
+remainders only decide what a row looks like and which customers have
+documents or were screened.
 """
 
 from __future__ import annotations

@@ -1,13 +1,17 @@
 from datetime import date, timedelta
 from decimal import Decimal
 
-from rows import PARAMS, by, txns
+from pyspark.sql import functions as F
+from rows import PARAMS, by, customers, txns
 
+from amihan.operators.candidates import int_str_candidates
 from amihan.operators.ctr import int_ctr_candidates
 from amihan.operators.customer_day import KEYS, customer_day
 from amihan.operators.layering import int_layering_detection
+from amihan.operators.signals import signal_pep
 from amihan.operators.skew import hot_groups
 from amihan.operators.structuring import int_structuring_detection
+from amihan.sources.seeds import load_seeds
 
 DAY0 = date(2026, 6, 1)
 
@@ -119,3 +123,46 @@ def test_salted_hot_days_give_the_same_rows(spark):
         salted = job(table, PARAMS, days, hot)
         assert plain.count() == salted.count() > 0
         assert plain.exceptAll(salted).count() == 0
+
+
+def test_skewed_joins_are_split_at_run_time(spark):
+    """Without stored days AQE splits the partition of a hot customer or day."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
+    }
+    is_hot = F.col("id") % 3 == 0
+    spread = spark.range(0, 40000, 1, 8).select(
+        F.concat(F.lit("T"), F.col("id").cast("string")).alias("txn_id"),
+        F.when(is_hot, "HOT").otherwise(F.concat(F.lit("C"), F.col("id") % 5000)).alias("customer_id"),
+        F.when(is_hot, F.lit(day(3)))
+        .otherwise(F.date_add(F.lit(DAY0), (F.col("id") % 7).cast("int")))
+        .alias("txn_date_ph"),
+        F.lit("MKT001").alias("branch_code"),
+        F.lit("CASH").alias("txn_type"),
+        F.lit("DEBIT").alias("transaction_direction"),
+        F.lit(60000).cast("decimal(19,2)").alias("amount_php"),
+        F.lit(None).cast("string").alias("counterparty_bank"),
+        F.lit(None).cast("string").alias("purpose_description"),
+    )
+    people = customers(spark, {"customer_id": "HOT", "is_pep": True})
+    jobs = {
+        "structuring": lambda: int_structuring_detection(spread, PARAMS),
+        "candidates": lambda: int_str_candidates(spread, people, load_seeds(spark), PARAMS),
+        "pep": lambda: signal_pep(spread, people, PARAMS),
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for name, job in jobs.items():
+            df = job()
+            assert len(df.collect()) >= 13334, name
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString(), name
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
