@@ -64,13 +64,32 @@ def append_new_only(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame
     return spark.read.parquet(path)
 
 
+def _on_dates_of(table: DataFrame, batch: DataFrame) -> DataFrame:
+    """The rows of a year-partitioned table within the date range of a batch.
+
+    The key holds the date, so older rows cannot conflict: a daily batch
+    reads the keys of its own days, not of the whole history.
+    """
+    first, last = batch.agg(F.min("txn_date_ph"), F.max("txn_date_ph")).first()
+    if first is None:
+        return table.filter(F.lit(False))
+    return table.filter(
+        F.col("txn_year").between(first.year, last.year) & F.col("txn_date_ph").between(first, last)
+    )
+
+
 def append_ignore_conflict(
     batch: DataFrame, path: str, keys: Sequence[str], by_year: bool = False
 ) -> DataFrame:
-    """Append a batch, leaving out rows whose primary key exists or repeats."""
+    """Append a batch, leaving out rows whose primary key exists or repeats.
+
+    ``by_year`` is for transactions, whose key is id and date.
+    """
     spark = batch.sparkSession
-    fresh = rows_with_new_keys(one_per_key(batch, keys), read_if_exists(spark, path), keys)
-    fresh = fresh.select(*batch.columns)
+    existing = read_if_exists(spark, path)
+    if by_year and existing is not None:
+        existing = _on_dates_of(existing, batch)
+    fresh = rows_with_new_keys(one_per_key(batch, keys), existing, keys).select(*batch.columns)
     if by_year:
         with_year(fresh).write.mode("append").partitionBy("txn_year").parquet(path)
     else:

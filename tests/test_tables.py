@@ -36,6 +36,23 @@ def test_append_ignores_known_and_repeated_keys(spark, tmp_path):
     ]
 
 
+def test_yearly_append_compares_with_the_dates_of_the_batch(spark, tmp_path):
+    path, keys = str(tmp_path / "t"), ["txn_id", "txn_date_ph"]
+
+    def put(*days):
+        rows = [{"txn_id": name, "txn_date_ph": day, "amount_php": amount} for name, day, amount in days]
+        return sinks.append_ignore_conflict(raw_txns(spark, *rows), path, keys, by_year=True)
+
+    put(("A", date(2024, 12, 31), 1), ("B", date(2025, 1, 1), 1))
+    put()
+    out = put(("A", date(2024, 12, 31), 2), ("A", date(2025, 1, 2), 2), ("B", date(2025, 1, 1), 2), ("C", date(2026, 1, 1), 2))
+    assert sorted((r.txn_id, r.txn_date_ph.year, int(r.amount_php)) for r in out.collect()) == [
+        ("A", 2024, 1), ("A", 2025, 2), ("B", 2025, 1), ("C", 2026, 2),
+    ]
+    plan = sinks._on_dates_of(out, raw_txns(spark, {"txn_date_ph": date(2025, 1, 2)}))
+    assert "PartitionFilters: [isnotnull(txn_year" in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_customer_upsert_changes_three_columns(spark):
     current = raw_customers(spark, {"customer_id": "A", "branch_code": "OLD"}, {"customer_id": "B"})
     incoming = raw_customers(
