@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amihan.llm.common import by_row
+from amihan.llm.common import by_row, map_arrow
 
 #: Bounds of the tables of one worker; a full table is emptied and filled anew.
 MAX_PAIRS = 400_000
@@ -304,7 +304,7 @@ def encode_texts(
         yield doc_id, [i for ids in coder.encode(text or "") for i in ids]
 
     asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return asked.mapInArrow(by_row(rows, ("doc_id", "text"), schema), "doc_id bigint, ids array<int>")
+    return map_arrow(asked, by_row(rows, ("doc_id", "text"), schema), "doc_id bigint, ids array<int>")
 
 
 def decode_ids(coded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -319,7 +319,7 @@ def decode_ids(coded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 text = "".join(map(stream.feed, coder.decode(ids.as_py() or ()))) + stream.close()
                 yield pa.RecordBatch.from_pydict({"doc_id": [doc_id], "text": [text]}, schema=schema)
 
-    return coded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
+    return map_arrow(coded.select("doc_id", "ids"), run, "doc_id bigint, text string")
 
 
 def token_digests(
@@ -361,7 +361,8 @@ def token_digests(
         yield doc_id, n, listed.hexdigest(), decoded.hexdigest(), not damaged or "�" in (text or "")
 
     asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return asked.mapInArrow(
+    return map_arrow(
+        asked,
         by_row(rows, ("doc_id", "text"), schema),
         "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, valid_utf8 boolean",
     )

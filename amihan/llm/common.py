@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  used as pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +35,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "amihan"), "zip", root, "amihan")
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow by a function of this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch where the bytes of one text column pass a limit; a longer text is alone."""
     sizes = pa.compute.binary_length(batch.column(column)).to_pylist()

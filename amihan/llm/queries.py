@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amihan.llm import byte_bpe, chat, mixing, pii
+from amihan.llm import byte_bpe, chat, lang_id, mixing, pii, piecewise_hash
 from amihan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,12 +61,25 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+@query("op3_piecewise_hash")
+def op3_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = piecewise_hash.neighbour_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", sha256_hex(F.col("edited_text")).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 @query("op5_encode_bytes")
 def op5_encode_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query("op6_cross_parse")
+def op6_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
 @query("op7_find_personal_data")
 def op7_find_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
