@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amihan.llm import byte_bpe, chat, lang_id, mixing, pii, piecewise_hash
+from amihan.llm import byte_bpe, chat, lang_id, mixing, pii, piecewise_hash, topk_nra, wacz
 from amihan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,26 @@ def sha256_hex(column) -> F.Column:
     return F.sha2(column.cast("binary"), 256)
 
 
+OP1_SQL = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from whole q join whole c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id and len(q.v) = len(c.v)
+)
+select query_id, rank::int as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+) where rank <= 5
+"""
+
+
+@query("op1_topk_search", OP1_SQL)
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_nra.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
 OP2_SQL = """
 with sizes as (
   select source, sum(coalesce(length(text), 0) + 1) as size from documents group by source
@@ -141,3 +161,24 @@ def op8_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256_hex(F.col("loss")).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+OP9_SQL = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), f as (
+  select *, min(page_id) over (partition by payload_digest) as first_id from p
+)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+from f
+"""
+
+
+@query("op9_zip_archives", OP9_SQL)
+def op9_zip_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = wacz.archive_folder(pages)
+    read = wacz.read_archives(wacz.write_archives(pages, folder), folder)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
