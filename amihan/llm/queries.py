@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amihan.llm import byte_bpe, chat, lang_id, mixing, pii, piecewise_hash, topk_nra, wacz
+from amihan.llm import byte_bpe, chat, lang_id, mixing, near_dedup, pii, piecewise_hash, topk_nra, wacz
 from amihan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,37 @@ def op9_zip_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = wacz.archive_folder(pages)
     read = wacz.read_archives(wacz.write_archives(pages, folder), folder)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP10_SQL = """
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), shingled as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+  from words
+), sets as (
+  select s, min(doc_id) as node, len(s) as n from (select doc_id, list_sort(s) as s from shingled where len(s) > 0) group by s
+), terms as materialized (select node, n, unnest(s) as t from sets),
+pairs as (
+  select a.node as x, b.node as y from terms a join terms b on a.t = b.t and a.node < b.node
+  and b.n >= 0.85 * a.n and a.n >= 0.85 * b.n
+  group by a.node, b.node, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), edges as materialized (
+  select x, y from pairs union all select y, x from pairs
+  union all select d.doc_id, t.node from shingled d join sets t on list_sort(d.s) = t.s
+  union all select t.node, d.doc_id from shingled d join sets t on list_sort(d.s) = t.s
+), reach as (
+  select doc_id, doc_id as r from documents
+  union select reach.doc_id, edges.y from reach join edges on reach.r = edges.x
+)
+select doc_id, len(s)::bigint as n_shingles, c as component_id, doc_id = c as kept
+from shingled join (select doc_id, min(r) as c from reach group by doc_id) using (doc_id)
+"""
+
+
+@query("op10_near_duplicates", OP10_SQL)
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
