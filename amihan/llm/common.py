@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  used as pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from amihan.session import run_folder
 
@@ -48,12 +49,31 @@ def ship_package(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
-def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
+) -> DataFrame:
     """mapInArrow by a function of this package."""
     ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
+def block_of(key: Column, starts: list[int]) -> Column:
+    """The last place of a descending list that is not below the key, by bisection."""
+    listed = F.array(*[F.lit(s) for s in starts])
+    halves = F.sequence(F.lit(1), F.lit(max(1, len(starts).bit_length())))
+    zero = F.struct(F.lit(0).alias("low"), F.lit(len(starts)).alias("high"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        right = (acc["high"] - acc["low"] > 1) & (F.get(listed, middle) >= key)
+        return F.struct(
+            F.when(right, middle).otherwise(acc["low"]).alias("low"),
+            F.when(right | (acc["high"] - acc["low"] <= 1), acc["high"]).otherwise(middle).alias("high"),
+        )
+
+    return F.aggregate(halves, zero, halve, lambda acc: acc["low"])
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch where the bytes of one text column pass a limit; a longer text is alone."""
     sizes = pa.compute.binary_length(batch.column(column)).to_pylist()

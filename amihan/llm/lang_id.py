@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from amihan.llm.common import map_arrow, slices
@@ -183,27 +184,34 @@ def parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
     return CrossParser(samples)
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, bits_per_letter) of each row.
+def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Every row with held_out, lang_pred, score and bits_per_letter; input columns of these names are replaced.
 
     Learned languages are the labels of documents that are not held out; a
     tie goes to the first by name.  A text that is null or has no letter is
     ``und`` with score 0, and so is every text if nothing could be learned.
     The score is the share of bits saved against the second best language (1
     where only one is known).  Repeated rows and null ids stay as rows; an
-    empty table gives no rows; other columns take no part.
+    empty table gives no rows.
     """
     samples = tuple(labelled_sample(docs, id_col, text_col, lang_col))
     sent = docs.sparkSession.sparkContext.broadcast(samples)
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("bits_per_letter", pa.float64())])
+    added = ("lang_pred", "score", "bits_per_letter")
+    asked = docs.drop(*added).withColumn("held_out", held_out(id_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parse = parser(sent.value)
         for whole in batches:
-            for batch in slices(whole, "text"):
-                names, score, bits = parse.predict([t or "" for t in batch.column("text").to_pylist()])
-                columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(score), pa.array(bits)]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            for batch in slices(whole, text_col):
+                names, score, bits = parse.predict([t or "" for t in batch.column(text_col).to_pylist()])
+                columns = [*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(bits)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *added])
+
+    schema = T.StructType([*asked.schema.fields, *(T.StructField(n, k) for n, k in zip(added, (T.StringType(), T.DoubleType(), T.DoubleType())))])
+    return map_arrow(asked, run, schema)
 
-    asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
-    return map_arrow(asked, run, "doc_id bigint, held_out boolean, lang_pred string, score double, bits_per_letter double")
+
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, bits_per_letter) of each row, as in :func:`with_language`."""
+    asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    return with_language(asked).select("doc_id", "held_out", "lang_pred", "score", "bits_per_letter")

@@ -21,10 +21,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amihan.llm.common import map_arrow
+from amihan.llm.common import block_of, map_arrow
 
 WINDOW = 7
 MAX_CHUNKS = 64
@@ -168,23 +168,6 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
-def _block_of(key: Column, starts: list[int]) -> Column:
-    """The last place of a descending list that is not below the key, by bisection."""
-    listed = F.array(*[F.lit(s) for s in starts])
-    halves = F.sequence(F.lit(1), F.lit(max(1, len(starts).bit_length())))
-    zero = F.struct(F.lit(0).alias("low"), F.lit(len(starts)).alias("high"))
-
-    def halve(acc: Column, _: Column) -> Column:
-        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
-        right = (acc["high"] - acc["low"] > 1) & (F.get(listed, middle) >= key)
-        return F.struct(
-            F.when(right, middle).otherwise(acc["low"]).alias("low"),
-            F.when(right | (acc["high"] - acc["low"] <= 1), acc["high"]).otherwise(middle).alias("high"),
-        )
-
-    return F.aggregate(halves, zero, halve, lambda acc: acc["low"])
-
-
 def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text and of its edited text, with their likeness and that to the next document.
 
@@ -207,7 +190,7 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     found = ranges.groupBy(F.spark_partition_id().alias("part")).agg(F.max("key").alias("key")).collect()
     # At most one number for each partition.
     starts = sorted({r["key"] for r in found}, reverse=True) or [lowest]
-    own = rows.withColumn("block", _block_of(F.col("key"), starts))
+    own = rows.withColumn("block", block_of(F.col("key"), starts))
     first_of = F.array_contains(F.array(*[F.lit(s) for s in starts]), F.col("key"))
     also = F.when(first_of, F.array(F.struct((F.when(F.col("block") == 0, len(starts)).otherwise(F.col("block")) - 1).alias("block"), F.lit(True).alias("carried"))))
     here = F.array(F.struct(F.col("block").alias("block"), F.lit(False).alias("carried")))

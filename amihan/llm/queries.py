@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amihan.llm import byte_bpe, chat, lang_id, mixing, near_dedup, pii, piecewise_hash, topk_nra, wacz
+from amihan.llm import byte_bpe, chat, lang_id, mixing, near_dedup, pii, piecewise_hash, suffix_dedup, topk_nra, wacz
 from amihan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,35 @@ def op3_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP4_SQL = """
+with raw as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+windows as (
+  select doc_id, p, md5(h[2 * p + 1:2 * p + 100]) as w
+  from (select doc_id, h, unnest(range(0, len(h) // 2 - 49)) as p from raw where len(h) >= 100)
+), owned as (select w, min(doc_id) as first_id from windows group by w having count(*) > 1),
+marked as (select x.doc_id, x.p from windows x join owned o on x.w = o.w and o.first_id < x.doc_id),
+spans as (
+  select doc_id, min(p) as b, max(p) + 50 as e
+  from (select *, sum(opens) over (partition by doc_id order by p) as run
+        from (select *, (coalesce(p - lag(p) over (partition by doc_id order by p) > 50, true))::int as opens from marked))
+  group by doc_id, run
+), kept as (
+  select r.doc_id, r.h, coalesce(sum(s.e - s.b), 0)::bigint as n_removed, count(s.b) as n_spans,
+         list(s.b order by s.b) filter (s.b is not null) as bs, list(s.e order by s.b) filter (s.b is not null) as es
+  from raw r left join spans s using (doc_id) group by r.doc_id, r.h
+)
+select doc_id, len(h)::bigint // 2 as n_bytes, n_removed, n_spans,
+  sha256(unhex(case when bs is null then h else array_to_string(list_transform(range(0, len(bs) + 1), lambda i:
+    h[2 * (case when i = 0 then 0 else es[i] end) + 1:2 * (case when i = len(bs) then len(h) // 2 else bs[i + 1] end)]), '') end)) as kept_sha256
+from kept
+"""
+
+
+@query("op4_remove_repeats", OP4_SQL)
+def op4_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op5_encode_bytes")
 def op5_encode_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
