@@ -4,7 +4,8 @@
    band keys.  Texts with equal sets are one node from here on, so thousands
    of copies are one row.
 2. Nodes that share a band key are candidates.  In each bucket all members are
-   paired with the smallest one only.
+   paired with one leader only: the member with the most company over all its
+   buckets, which is the text that the others were derived from if it is there.
 3. Candidate signatures are compared in batches.  With m of n equal hashes and
    a uniform prior the similarity is Beta(m + 1, n - m + 1) distributed; a
    pair goes when its chance of reaching the threshold falls below the chosen
@@ -236,10 +237,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
         usable.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("keys").alias("keys")), "sets"
     )
     banded = nodes.select("set_id", "doc_id", F.posexplode("keys").alias("band", "key"))
-    shared = banded.groupBy("band", "key").agg(F.min(F.struct("doc_id", "set_id")).alias("least"), F.count("*").alias("size")).where("size > 1")
-    buckets = stored(
-        banded.join(shared, ["band", "key"]).select("band", "key", "set_id", F.col("least.set_id").alias("leader")), "buckets"
-    )
+    shared = banded.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(banded.join(shared, ["band", "key"]), "members")
+    # The text that others were derived from shares more buckets with them than they share among themselves.
+    company = members.groupBy(F.col("set_id").alias("of")).agg(F.sum("size").alias("company"))
+    ranked = members.join(company, F.col("set_id") == F.col("of")).drop("of")
+    leaders = ranked.groupBy("band", "key").agg(F.max_by("set_id", F.struct("company", -F.col("doc_id"))).alias("leader"))
+    buckets = stored(members.select("band", "key", "set_id").join(leaders, ["band", "key"]), "buckets")
     stars = buckets.where("leader <> set_id").select(F.col("leader").alias("a"), F.col("set_id").alias("b")).distinct()
     first = stored(verified(stored(prune(stars, nodes, threshold, hashes), "candidates"), docs, nodes, percent, id_col, text_col), "links")
     # Ids that share a set, or sets that share an id, are linked through the set's smallest id.
