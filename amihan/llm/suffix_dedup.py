@@ -41,6 +41,8 @@ SHARD_BYTES = 32 << 20
 SLICE_BYTES = 2 << 20
 #: Bytes of undecided groups in one index, about.
 INDEX_BYTES = 12 << 20
+#: Groups that are streamed at once.
+STREAMED = 32_768
 MAX_ID = (1 << 63) - 1
 DOC = "kind int, uid bigint, doc_id bigint, n_bytes bigint, text binary, begins array<bigint>, ends array<bigint>, n_removed bigint, n_spans bigint, kept_sha256 string"
 GROUP = "anchor bigint, content bigint, key bigint, start bigint"
@@ -146,15 +148,17 @@ def send_groups(length: int, buckets: int):
 def decide(rows: pa.Table) -> pa.Table:
     """Step 2: for each shard the groups of a bucket that an earlier shard has, and its first ones that stay undecided."""
     schema = pa.schema([("shard", pa.int32()), ("gone", pa.binary()), ("undecided", pa.binary())])
+    rows = rows.sort_by("shard")
     anchors, contents = _hashes(rows.column("anchors").to_pylist(), "<u4"), _hashes(rows.column("contents").to_pylist(), "<u8")
     counts = [len(c) // 8 for c in rows.column("contents").to_pylist()]
     shards = np.repeat(rows.column("shard").to_numpy(), counts)
-    order = np.lexsort((shards, contents, anchors))
+    # Stable: of equal groups the earliest shard's is first.
+    order = np.argsort(contents, kind="stable")
     anchors, contents, shards = anchors[order], contents[order], shards[order]
-    new_anchor = np.concatenate(([True], anchors[1:] != anchors[:-1]))
-    first = new_anchor | np.concatenate(([True], contents[1:] != contents[:-1]))
-    several = np.bincount(np.cumsum(new_anchor) - 1, weights=first) > 1
-    undecided = first & several[np.cumsum(new_anchor) - 1]
+    first = np.concatenate(([True], contents[1:] != contents[:-1]))
+    _, which, sizes = np.unique(anchors[first], return_inverse=True, return_counts=True)
+    undecided = first.copy()
+    undecided[first] = sizes[which] > 1
     out = []
     for shard in np.unique(shards):
         own = shards == shard
@@ -173,9 +177,8 @@ def mark(length: int):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
-        docs = docs.combine_chunks()
-        batch = docs.to_batches()[0]
-        texts = raw_bytes(batch, "text")
+        docs = docs.sort_by("key").combine_chunks()
+        texts = [t for batch in docs.to_batches() for t in raw_bytes(batch, "text")]
         keys, shard = docs.column("key").to_numpy(), docs.column("shard")[0].as_py()
         ids = docs.column("doc_id").to_pylist()
         g = _all_groups(texts, length)
@@ -188,7 +191,8 @@ def mark(length: int):
             return sorted_[np.minimum(np.searchsorted(sorted_, g.content), len(sorted_) - 1)] == g.content
 
         covered = listed(gone)
-        order = np.lexsort((g.start, g.doc, keys[g.doc], g.content)) if len(g.content) else np.empty(0, np.int64)
+        # Groups lie in the order of keys, which a stable sort keeps.
+        order = np.argsort(g.content, kind="stable")
         content = g.content[order]
         first = np.concatenate(([True], content[1:] != content[:-1])) if len(order) else np.empty(0, bool)
         owner = keys[g.doc[order]][first][np.cumsum(first) - 1] if len(order) else np.empty(0, np.int64)
@@ -239,27 +243,42 @@ def match_groups(length: int):
         document = np.cumsum(new | np.concatenate(([True], key[order][1:] != key[order][:-1])))
         rank = np.empty(len(order), np.int64)
         rank[order] = document - document[np.flatnonzero(new)][np.cumsum(new) - 1]
+        lengths = np.array([len(t) for t in texts])
+        offsets = np.cumsum(lengths) - lengths
+        data = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
         marks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        # Symbols of different blocks differ, so a group matches only where it should.
+        def joined(some: np.ndarray, block: np.ndarray) -> np.ndarray:
+            """The groups one after the other, each with a stop."""
+            room = lengths[some] + 1
+            within = np.arange(room.sum()) - np.repeat(np.cumsum(room) - room, room)
+            source = np.repeat(offsets[some], room) + within
+            inside = within < np.repeat(lengths[some], room)
+            return np.where(inside, data[np.minimum(source, len(data) - 1)] + 257 * np.repeat(block[some], room), 0)
+
+        def rows_of(some: np.ndarray, block: np.ndarray) -> np.ndarray:
+            within = np.arange(lengths[some].max())[None, :]
+            symbols = data[np.minimum(offsets[some][:, None] + within, len(data) - 1)] + 257 * block[some][:, None]
+            return np.where(within < lengths[some][:, None], symbols, 0)
+
         for digit in range(int(rank.max(initial=0)).bit_length()):
             block = rank >> (digit + 1)
             asks = (rank >> digit & 1) == 1
             # Only groups of an anchor and block that is asked for need be in the index.
-            pair = np.array(list(zip(anchor.tolist(), block.tolist())), dtype=[("a", "i8"), ("b", "i8")])
+            pair = anchor << 31 | block
             held = ~asks & np.isin(pair, pair[asks])
-            stream = np.flatnonzero(asks)
-            stream = stream[np.argsort([-len(texts[i]) for i in stream], kind="stable")]
-            # Symbols of different blocks differ, so a group matches only where it should.
-            symbols = lambda i, block=block: np.frombuffer(texts[i], np.uint8).astype(np.int64) + 1 + 257 * block[i]
-            stop = np.zeros(1, np.int64)
-            index = RunIndex(np.concatenate([x for i in np.flatnonzero(held) for x in (symbols(i), stop)]))
-            for at in range(0, len(stream), 65_536):
-                some = stream[at : at + 65_536]
-                lengths = np.array([len(texts[i]) for i in some])
-                patterns = np.zeros((len(some), lengths.max()), np.int64)
-                for j, i in enumerate(some):
-                    patterns[j, : lengths[j]] = symbols(i)
-                hit, place = np.nonzero(index.matching_statistics(patterns, lengths) >= length)
-                marks.append((uid[some[hit]], start[some[hit]] + place, start[some[hit]] + place + length))
+            # Most anchors have one block only; apart from the others, symbols are bytes and sort faster.
+            for part in (block == 0, block > 0):
+                stream = np.flatnonzero(asks & part)
+                if not len(stream):
+                    continue
+                index = RunIndex(joined(np.flatnonzero(held & part), block))
+                stream = stream[np.argsort(-lengths[stream], kind="stable")]
+                for at in range(0, len(stream), STREAMED):
+                    some = stream[at : at + STREAMED]
+                    hit, place = np.nonzero(index.matching_statistics(rows_of(some, block), lengths[some]) >= length)
+                    marks.append((uid[some[hit]], start[some[hit]] + place, start[some[hit]] + place + length))
         if not marks:
             return schema.empty_table()
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*marks)], schema=schema)
