@@ -125,13 +125,12 @@ _relation(
     f"""
 select 'D' || lpad(cast(k as varchar), 12, '0') || '-' || i as document_id,
   'CUST' || lpad(cast(k as varchar), 12, '0') as customer_id,
-  {_pick("'PASSPORT','NATIONAL_ID','DRIVERS_LICENSE','POSTAL_ID'", "i - 1")} as document_type,
-  'N' || k || i as document_number, {AS_OF} - cast(30 + k % 1000 as integer) as issue_date,
+  case when (k + i) % 3 <> 0 then {_pick("'PASSPORT','NATIONAL_ID','DRIVERS_LICENSE','POSTAL_ID'", "i - 1")} end as document_type,
+  'N' || k || i as document_number, case when k % 30 <> 7 then {AS_OF} - cast(30 + k % 1000 as integer) end as issue_date,
   case when (k + i) % 20 = 0 then null when (k * i) % 7 = 0 then {AS_OF} - cast(1 + k % 365 as integer)
     else {AS_OF} + cast((k * 13 + i * 50) % 1500 as integer) end as expiry_date,
   'PH' as issuing_country, 'DFA' as issuing_authority
 from (select c_custkey as k, unnest([1, 2, 3, 4]) as i from customer)
-where (k + i) % 3 <> 0 and k % 30 <> 7
 """,
 )
 _relation(
@@ -139,12 +138,12 @@ _relation(
     f"""
 select 'W' || lpad(cast(k as varchar), 12, '0') as screening_id,
   'CUST' || lpad(cast(k as varchar), 12, '0') as customer_id,
-  {AS_OF} - cast(k % 60 as integer) as screening_date,
+  case when k % 4 = 0 then {AS_OF} - cast(k % 60 as integer) end as screening_date,
   {_pick("'AMLC_LIST','UN_SANCTIONS','OFAC_SDN','INTERNAL_BLACKLIST'", "(k // 4) % 4")} as watchlist_source,
   {_pick("'NO_MATCH','POSSIBLE_MATCH','CONFIRMED_MATCH','FALSE_POSITIVE'", "(k // 16) % 4")} as match_status,
   c_name as matched_name, cast((k * 7) % 101 as decimal(5,2)) as match_score,
   cast((k * 7) % 101 as decimal(5,2)) as match_confidence_pct, cast(null as varchar) as notes
-from (select c_custkey as k, c_name from customer) where k % 4 = 0
+from (select c_custkey as k, c_name from customer)
 """,
 )
 

@@ -45,7 +45,9 @@ query(
 )(
     lambda x: x.transactions.select(
         "txn_id",
-        F.contains(F.upper("counterparty_bank"), F.substring("counterparty_bank", 1, 2)).alias("names_own_bank"),
+        F.like(
+            F.upper("counterparty_bank"), F.concat(F.lit("%"), F.substring("counterparty_bank", 1, 2), F.lit("%"))
+        ).alias("names_own_bank"),
     )
 )
 query(

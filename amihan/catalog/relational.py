@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from amihan.catalog.check_sql import AS_OF, half_up
 from amihan.catalog.detections import RISK
@@ -293,26 +294,29 @@ query(
 # Windows ----------------------------------------------------------------------
 
 
-def _first_cash_of_day(x):
-    """Rank 1 of each customer-day with the day's total: one aggregation.
+_DAY_WINDOW = "partition by customer_id, txn_date_ph order by txn_id"
 
-    Only rank 1 is ever used, where the running sum over its peers is the
-    whole day, so no day is sorted in one task.
-    """
-    return (
-        x.transactions.filter(_is_cash())
-        .groupBy(*cd.KEYS)
-        .agg(F.min("txn_id").alias("txn_id"), F.sum("amount_php").alias("day_total"))
-        .withColumn("day_rank", F.lit(1))
-    )
 
-
-query("win_running_sum_day", "txn_id customer_id txn_date_ph:d day_total:n", "select * from first_of_day")(
-    _first_cash_of_day
+@query(
+    "win_running_sum_day",
+    "txn_id customer_id txn_date_ph:d running_total:n",
+    f"select *, sum(amount_php) over ({_DAY_WINDOW}) as running_total from txn where txn_type = 'CASH'",
 )
-query("win_row_number_day", "txn_id customer_id txn_date_ph:d day_rank:i", "select * from first_of_day")(
-    _first_cash_of_day
+def _running_sum_day(x):
+    """Every cash row with the sum of its day so far."""
+    day = Window.partitionBy(*cd.KEYS).orderBy("txn_id")
+    return x.transactions.filter(_is_cash()).withColumn("running_total", F.sum("amount_php").over(day))
+
+
+@query(
+    "win_row_number_day",
+    "txn_id customer_id txn_date_ph:d day_rank:i",
+    f"select *, row_number() over ({_DAY_WINDOW}) as day_rank from txn where txn_type = 'CASH'",
 )
+def _row_number_day(x):
+    """Every cash row with its place in its day; ``ctr_related_cash`` needs the first only and aggregates."""
+    day = Window.partitionBy(*cd.KEYS).orderBy("txn_id")
+    return x.transactions.filter(_is_cash()).withColumn("day_rank", F.row_number().over(day))
 
 
 @query(

@@ -7,27 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The largest groups that get a salt.  All other groups are smaller than
-# 1/HOT_GROUPS of the rows, so no task is left with a large share.
-HOT_GROUPS = 1_000
+# A group above this number of rows is split into parts of about it.
 ROWS_PER_SPLIT = 2_000_000
 
 
 def hot_groups(
     groups: DataFrame, keys: Sequence[str], size: str, rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
-    """The largest groups with the number of parts each is to be split into.
+    """All groups above a size with the number of parts each is to be split into.
 
-    At most ``HOT_GROUPS`` rows whatever the data: safe to broadcast.
+    There are at most as many as the rows fill parts; how they reach the
+    rows - broadcast or shuffled - Catalyst decides by their measured size.
     """
     parts = F.ceil(F.col(size) / rows_per_split).cast("int").alias("_parts")
-    return (
-        groups.filter(F.col(size) > rows_per_split)
-        .select(*keys, size)
-        .orderBy(F.desc(size), *keys)
-        .limit(HOT_GROUPS)
-        .select(*keys, parts)
-    )
+    return groups.filter(F.col(size) > rows_per_split).select(*keys, parts)
 
 
 def join_groups(
@@ -48,7 +41,6 @@ def join_groups(
     keys = list(keys)
     if hot is None:
         return rows.join(groups, keys)
-    hot = F.broadcast(hot)
     parts = F.coalesce("_parts", F.lit(1))
     salted_rows = rows.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), parts).cast("int"))
     salted_groups = groups.join(hot, keys, "left").withColumn(

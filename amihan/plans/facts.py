@@ -14,7 +14,7 @@ from amihan.functions.numeric import cents, rounded_ratio
 from amihan.functions.scoring import filing_urgency, first_match
 from amihan.operators.risk import COMPONENTS
 from amihan.params import AmlParams
-from amihan.sources.seeds import bounded_rows
+from amihan.sources.seeds import listed_rows
 
 # Indicator categories with a score column of their own.
 CATEGORIES = {
@@ -72,7 +72,7 @@ def category_scores(indicators: DataFrame) -> dict[str, Column]:
     The indicator list is a bounded seed, so the scores are literals and the
     sum is row-local: no explode, join and regrouping of the candidates.
     """
-    rows = bounded_rows(indicators.select("indicator_code", "indicator_category", "base_risk_score"))
+    rows = listed_rows(indicators.select("indicator_code", "indicator_category", "base_risk_score"))
     out = {}
     for name, category in CATEGORIES.items():
         points: dict[str, int] = {}

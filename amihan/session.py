@@ -32,16 +32,26 @@ def local_session(cpus: int | str = "*", app: str = "amihan", shuffle_partitions
     return spark
 
 
+def _fallback_root(spark: SparkSession) -> str:
+    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        return tempfile.mkdtemp(prefix="amihan-")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/_amihan"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and run tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; a local folder is used
-    only where that setting is absent, as in tests.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that setting is
+    absent a local session uses a temporary folder; on several machines the
+    warehouse is used, which must not be a machine's own folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
-        root = configured or tempfile.mkdtemp(prefix="amihan-")
+        root = configured or _fallback_root(spark)
         spark.sparkContext.setCheckpointDir(root)
         current = spark.sparkContext.getCheckpointDir()
     return configured or current

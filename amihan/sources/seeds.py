@@ -18,8 +18,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from amihan.schemas import SEEDS
 
-# A seed is a hand-kept list.  Anything longer is a table, not a seed.
-MAX_SEED_ROWS = 5_000
 
 # ---------------------------------------------------------------------------
 # The seed lists as CSV text (empty = NULL; columns left out
@@ -231,12 +229,9 @@ def read_seed(spark: SparkSession, name: str, root: str | None = None) -> DataFr
     return spark.createDataFrame(texts.cast(to_arrow_schema(schema)))
 
 
-def bounded_rows(df: DataFrame, limit: int = MAX_SEED_ROWS) -> list:
-    """The rows of a small list on the driver; refuses anything longer."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} rows: not a seed list")
-    return rows
+def listed_rows(df: DataFrame) -> list:
+    """The rows of a reference list that is kept by hand and does not grow with the data; whatever its length."""
+    return df.collect()
 
 
 @dataclass(frozen=True)
@@ -273,7 +268,7 @@ def load_seeds(spark: SparkSession, root: str | None = None) -> Seeds:
         non_working_days=days,
         fatf=fatf,
         holidays=tuple(
-            r[0] for r in bounded_rows(days.select("calendar_date").filter("calendar_date is not null").distinct())
+            r[0] for r in listed_rows(days.select("calendar_date").filter("calendar_date is not null").distinct())
         ),
-        jurisdictions=tuple(Jurisdiction(*r) for r in bounded_rows(listed)),
+        jurisdictions=tuple(Jurisdiction(*r) for r in listed_rows(listed)),
     )

@@ -35,16 +35,21 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest row, so that a retried task chooses the same.
+def one_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None, last: bool = False) -> DataFrame:
+    """One row per key: the first, or the last, by the order column of a load sequence.
+
+    Without such a column it is the smallest row, so that a retried task
+    chooses the same; rows of one place in the order are told apart that way.
 
     The minimum is combined before the shuffle, so a key repeated in a third
     of all rows sends one row per task.
     """
     others = [c for c in df.columns if c not in keys]
+    leading = [order] if order else []
+    whole = F.struct(*leading, *[c for c in others if c not in leading])
     return (
         df.groupBy(*keys)
-        .agg(F.min(F.struct(*others)).alias("_row"))
+        .agg((F.max if last else F.min)(whole).alias("_row"))
         .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
     )
 
@@ -57,9 +62,9 @@ def rows_with_new_keys(new: DataFrame, existing: DataFrame | None, keys: Sequenc
 
 
 def append_new_only(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """Append the rows with unknown keys; known keys keep their first row."""
+    """Append one row for each unknown key; known keys keep their first row."""
     spark = new.sparkSession
-    fresh = rows_with_new_keys(new, read_if_exists(spark, path), keys)
+    fresh = rows_with_new_keys(one_per_key(new, keys), read_if_exists(spark, path), keys)
     fresh.select(*new.columns).write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
@@ -79,17 +84,20 @@ def _on_dates_of(table: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def append_ignore_conflict(
-    batch: DataFrame, path: str, keys: Sequence[str], by_year: bool = False
+    batch: DataFrame, path: str, keys: Sequence[str], by_year: bool = False, order: str | None = None
 ) -> DataFrame:
     """Append a batch, leaving out rows whose primary key exists or repeats.
 
-    ``by_year`` is for transactions, whose key is id and date.
+    ``by_year`` is for transactions, whose key is id and date.  Of a key
+    repeated in the batch the first row by ``order`` stays; the order column
+    is not stored.
     """
     spark = batch.sparkSession
     existing = read_if_exists(spark, path)
     if by_year and existing is not None:
         existing = _on_dates_of(existing, batch)
-    fresh = rows_with_new_keys(one_per_key(batch, keys), existing, keys).select(*batch.columns)
+    stored = [c for c in batch.columns if c != order]
+    fresh = rows_with_new_keys(one_per_key(batch, keys, order), existing, keys).select(*stored)
     if by_year:
         with_year(fresh).write.mode("append").partitionBy("txn_year").parquet(path)
     else:
@@ -97,16 +105,22 @@ def append_ignore_conflict(
     return spark.read.parquet(path)
 
 
-def merge_customers(current: DataFrame, incoming: DataFrame) -> DataFrame:
+def merge_customers(current: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:
     """Upsert customers: known ones change three columns only, new ones are added.
 
-    Both sides hold one row per customer.  Write the result to a new path,
-    never over ``current``.
+    ``current`` holds one row per customer.  Of a customer repeated in
+    ``incoming`` the last row by ``order`` gives the three columns and the
+    first one the others.  Write the result to a new path, never over
+    ``current``.
     """
     is_known = F.col("cur._known").isNotNull()
     is_incoming = F.col("inc._known").isNotNull()
     old_rows = current.withColumn("_known", F.lit(True)).alias("cur")
-    new_rows = one_per_key(incoming, ["customer_id"]).withColumn("_known", F.lit(True)).alias("inc")
+    new_rows = one_per_key(incoming, ["customer_id"], order)
+    if order:
+        last = one_per_key(incoming, ["customer_id"], order, last=True).select("customer_id", *UPSERT_COLUMNS)
+        new_rows = new_rows.drop(*UPSERT_COLUMNS).join(last, "customer_id")
+    new_rows = new_rows.withColumn("_known", F.lit(True)).alias("inc")
     joined = old_rows.join(new_rows, F.col("cur.customer_id") == F.col("inc.customer_id"), "full_outer")
 
     def pick(name: str):
@@ -122,5 +136,6 @@ def write_by_year(transactions: DataFrame, path: str) -> None:
     """Write transactions in one folder per year.
 
     Each task writes to its own files per year: no shuffle gathers a year.
+    Files are sorted by date, so that row groups can be skipped.
     """
-    with_year(transactions).write.mode("overwrite").partitionBy("txn_year").parquet(path)
+    with_year(transactions).sortWithinPartitions("txn_year", "txn_date_ph").write.mode("overwrite").partitionBy("txn_year").parquet(path)

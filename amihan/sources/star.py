@@ -119,15 +119,14 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_kyc_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up to four documents per customer; in this mapping some have none."""
+    """Four documents per customer; some lack their type or issue date and are rejected later."""
     numbered = _read(spark, sf_dir, "customer").selectExpr("c_custkey as k", "explode(sequence(1, 4)) as i")
-    owned = numbered.filter("(k + i) % 3 <> 0 and k % 30 <> 7")
-    return owned.selectExpr(
+    return numbered.selectExpr(
         f"{_padded('D', 'k')} || '-' || i as document_id",
         f"{_padded('CUST', 'k')} as customer_id",
-        f"{_pick(DOCUMENT_TYPES, 'i - 1')} as document_type",
+        f"case when (k + i) % 3 <> 0 then {_pick(DOCUMENT_TYPES, 'i - 1')} end as document_type",
         "'N' || k || i as document_number",
-        f"date_sub({TODAY}, cast(30 + k % 1000 as int)) as issue_date",
+        f"case when k % 30 <> 7 then date_sub({TODAY}, cast(30 + k % 1000 as int)) end as issue_date",
         f"""case when (k + i) % 20 = 0 then null
             when (k * i) % 7 = 0 then date_sub({TODAY}, cast(1 + k % 365 as int))
             else date_add({TODAY}, cast((k * 13 + i * 50) % 1500 as int)) end as expiry_date""",
@@ -138,12 +137,12 @@ def raw_kyc_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_watchlist_screening(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Screening results; in this mapping a quarter of the customers were screened."""
-    screened = _read(spark, sf_dir, "customer").selectExpr("c_custkey as k", "c_name").filter("k % 4 = 0")
+    """A screening per customer; three of four lack their date and are rejected later."""
+    screened = _read(spark, sf_dir, "customer").selectExpr("c_custkey as k", "c_name")
     return screened.selectExpr(
         f"{_padded('W', 'k')} as screening_id",
         f"{_padded('CUST', 'k')} as customer_id",
-        f"date_sub({TODAY}, cast(k % 60 as int)) as screening_date",
+        f"case when k % 4 = 0 then date_sub({TODAY}, cast(k % 60 as int)) end as screening_date",
         f"{_pick(SOURCES, '(k div 4) % 4')} as watchlist_source",
         f"{_pick(MATCHES, '(k div 16) % 4')} as match_status",
         "c_name as matched_name",

@@ -4,17 +4,17 @@ import os
 from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
 
-import pytest
 from pyspark.sql import functions as F
 from rows import PARAMS, by, customers, raw_customers, raw_documents, raw_screening, raw_txns, screening, txns
 
 from amihan.operators import quality as dq
 from amihan.operators.extensions import scd2_customers, signal_dormancy, signal_smurfing
+from amihan.operators.skew import hot_groups, join_groups
 from amihan.plans.daily import run_daily
 from amihan.plans.reports import ctr_monthly, report_path, write_csv_report
 from amihan.sources import sinks, star
 from amihan.sources.raw import read_transactions_between
-from amihan.sources.seeds import bounded_rows, load_seeds, read_seed
+from amihan.sources.seeds import listed_rows, load_seeds, read_seed
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -206,8 +206,42 @@ def test_seed_types_and_bound(spark, tmp_path):
     (tmp_path / "ph_non_working_days.csv").write_text("calendar_date,holiday_name,holiday_type\n2030-01-01,New Year,\n")
     own = read_seed(spark, "ph_non_working_days", str(tmp_path)).collect()
     assert [tuple(r) for r in own] == [(date(2030, 1, 1), "New Year", None)]
-    with pytest.raises(ValueError):
-        bounded_rows(spark.range(11), limit=10)
+    assert len(listed_rows(spark.range(6_001))) == 6_001
+
+
+def test_conflicts_in_a_batch_follow_the_load_order(spark, tmp_path):
+    rows = [("A", 2, "second"), ("A", 1, "zz first"), ("B", 3, "only")]
+    batch = spark.createDataFrame(rows, "txn_id string, load_no int, purpose string")
+    out = sinks.append_ignore_conflict(batch, str(tmp_path / "t"), ["txn_id"], order="load_no")
+    assert sorted(map(tuple, out.collect())) == [("A", "zz first"), ("B", "only")]
+
+    def people(*rows):
+        return spark.createDataFrame(
+            rows, "customer_id string, load_no int, customer_name string, risk_tier string, kyc_last_update_date string, segment string"
+        )
+
+    current = people(("K", 0, "old", "LOW", "d0", "kept")).drop("load_no")
+    incoming = people(
+        ("K", 1, "b", "LOW", "d1", "x"), ("K", 2, "a", "HIGH", "d2", "y"), ("N", 2, "a", "LOW", "d2", "later"), ("N", 1, "b", "HIGH", "d1", "first")
+    )
+    merged = sorted(map(tuple, sinks.merge_customers(current, incoming, order="load_no").collect()))
+    assert merged == [("K", "a", "HIGH", "d2", "kept"), ("N", "a", "LOW", "d2", "first")]
+
+
+def test_append_new_only_stores_one_row_of_a_repeated_key(spark, tmp_path):
+    new = spark.createDataFrame([("A", 1), ("A", 1), ("B", 2)], "id string, n int")
+    path = str(tmp_path / "new")
+    assert sinks.append_new_only(new, path, ["id"]).count() == 2
+    assert sinks.append_new_only(new, path, ["id"]).count() == 2
+
+
+def test_every_hot_group_is_split(spark):
+    groups = spark.range(1_500).selectExpr("id as k", "3000000 as n")
+    hot = hot_groups(groups, ["k"], "n")
+    assert hot.count() == 1_500 and {r["_parts"] for r in hot.collect()} == {2}
+    rows = spark.range(4_500).selectExpr("id % 1500 as k", "id as row")
+    joined = join_groups(rows, groups.select("k", "n"), ["k"], F.col("row"), hot)
+    assert joined.count() == 4_500
 
 
 def test_daily_run_builds_all_tables_and_reruns(spark, tmp_path):
