@@ -12,11 +12,12 @@
    miss probability.
 4. Survivors are verified exactly on their full sets.
 5. Linked nodes are joined to components.  Pairs of one bucket whose members
-   are not in one component yet were not tested by (2): they go through (3)
-   and (4) now, in blocks, and the components are completed.
+   are not in one component yet were not tested by (2): blocks of a bucket go
+   through (3) and (4) with each other now, each pair in the first band that
+   it shares, and the components are completed.
 
-So a bucket of any size costs one pair per member plus the pairs that the
-first pass left apart; no bucket, candidate or partner is cut off.
+Rows that leave a step are members or links that join components, never the
+pairs of a bucket; no bucket, candidate or partner is cut off.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ BAND_MISS = 1e-5
 PRUNE_MISS = 1e-6
 BATCH = 16
 #: Members of one block of a bucket in step 5, and pairs of one verifying group.
-BLOCK = 2048
+BLOCK = 512
 GROUP = 512
 SHINGLES_AT_ONCE = 4096
 
@@ -182,40 +183,86 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int,
     return members.groupBy("a", "group").cogroup(leaders.groupBy("leader", "leader_group")).applyInArrow(compare, "a binary, b binary")
 
 
-def apart_in_buckets(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, threshold: float, hashes: int) -> DataFrame:
-    """Candidates of one bucket in different components that signatures do not rule out, in blocks of bounded size.
+def _apart(group: pa.Table, least: np.ndarray, hashes: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each member of a block pair its later partners that signatures leave a chance.
 
-    ``buckets`` are (band, key, set_id) of all members, ``labels`` the
-    component of each node.
+    Partners are in another component, have not been tested with the leader,
+    and share no earlier band, where the pair comes up already.
+    """
+    columns = {c: group.column(c).to_numpy() for c in ("label", "block")}
+    own = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u4").reshape(-1, hashes)
+    keys = np.array(group.column("keys").to_pylist(), np.int64)[:, : group.column("band")[0].as_py()]
+    leads = np.array([a == b for a, b in zip(group.column("set_id").to_pylist(), group.column("leader").to_pylist())])
+    crossing = group.column("low")[0].as_py() != group.column("high")[0].as_py()
+    for i in np.flatnonzero(~leads):
+        to = np.arange(i + 1, group.num_rows)
+        to = to[(columns["label"][to] != columns["label"][i]) & ~leads[to]]
+        if crossing:
+            to = to[columns["block"][to] != columns["block"][i]]
+        to = to[~(keys[to] == keys[i]).any(axis=1)]
+        yield i, to[_survivors(np.broadcast_to(own[i], (len(to), hashes)), own[to], least)]
+
+
+def link_apart(
+    buckets: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, hashes: int, id_col: str, text_col: str
+) -> DataFrame:
+    """Links (a, b) between members of one bucket that are in different components yet.
+
+    ``buckets`` are (band, key, set_id, leader) of all members, ``labels`` the
+    component of each node.  Buckets are worked on in pairs of blocks of
+    bounded size.  A first pass finds by signatures which members have a
+    partner at all; for those the full sets are fetched and compared.  A block
+    pair gives out members or a forest of links, never all its pairs.
     """
     ship_package(buckets.sparkSession)
-    least = least_matches(threshold, hashes)
+    least = least_matches(percent / 100, hashes)
     labelled = buckets.join(labels, "set_id")
-    mixed = labelled.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = mixed.where("size > 2 and low <> high").select("band", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    mixed = labelled.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("label").alias("from"), F.max("label").alias("to"))
+    mixed = mixed.where("size > 2 and `from` <> `to`").select("band", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     rows = labelled.join(mixed, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    rows = rows.join(nodes.select("set_id", "signature"), "set_id")
+    rows = rows.join(nodes.select("set_id", "signature", "keys"), "set_id")
+    rows = stored(rows, "apart")
+
+    def in_pairs(members: DataFrame) -> DataFrame:
+        paired = members.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        paired = paired.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        return paired.drop("other", "blocks")
+
+    def with_partner(group: pa.Table) -> pa.Table:
+        found: set[int] = set()
+        for i, to in _apart(group, least, hashes):
+            if len(to):
+                found |= {int(i), *to.tolist()}
+        return group.select(["set_id"]).take(pa.array(sorted(found), pa.int64()))
+
+    by = ["band", "key", "low", "high"]
+    wanted = stored(in_pairs(rows).groupBy(*by).applyInArrow(with_partner, "set_id binary").distinct(), "apart")
+    sets = full_sets(docs, nodes.select("set_id", "doc_id").join(wanted, "set_id"), id_col, text_col)
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
-    def pair_up(group: pa.Table) -> pa.Table:
-        ids = group.column("set_id").to_pylist()
-        label, block = group.column("label").to_numpy(), group.column("block").to_numpy()
-        own = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u4").reshape(-1, hashes)
-        crossing = group.column("low")[0].as_py() != group.column("high")[0].as_py()
-        found = []
-        for i in range(len(ids)):
-            to = np.arange(i + 1, len(ids))
-            to = to[label[to] != label[i]]
-            if crossing:
-                to = to[block[to] != block[i]]
-            kept = to[_survivors(np.broadcast_to(own[i], (len(to), hashes)), own[to], least)]
-            found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in kept]
-        return pa.Table.from_arrays([pa.array([x[c] for x in found], pa.binary()) for c in range(2)], schema=schema)
-
-    columns = rows.select("band", "key", "low", "high", "set_id", "label", "block", "signature")
-    return columns.groupBy("band", "key", "low", "high").applyInArrow(pair_up, "a binary, b binary").distinct()
+    def compare(group: pa.Table) -> pa.Table:
+        ids, root = group.column("set_id").to_pylist(), list(range(group.num_rows))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
+        linked = []
+
+        def top(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        for i, to in _apart(group, least, hashes):
+            for j in to.tolist():
+                x, y = sets[i], sets[j]
+                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)) or top(i) == top(j):
+                    continue
+                place = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                common = int((x[place] == y).sum())
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    linked.append((ids[i], ids[j]))
+                    root[top(i)] = top(j)
+        return pa.Table.from_arrays([pa.array([r[c] for r in linked], pa.binary()) for c in range(2)], schema=schema)
+
+    return in_pairs(rows.join(sets, "set_id")).groupBy(*by).applyInArrow(compare, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,10 +303,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     found = components(as_edges(first).union(copies))
     named = nodes.join(found.withColumnsRenamed({"u": "doc_id", "v": "smallest"}), "doc_id", "left")
     labels = named.select("set_id", F.coalesce("smallest", "doc_id").alias("label"))
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = stored(apart_in_buckets(buckets.drop("leader"), labels, nodes, threshold, hashes).join(tested, ["a", "b"], "left_anti"), "candidates")
-    if not more.isEmpty():
-        second = verified(more, docs, nodes, percent, id_col, text_col)
+    second = stored(link_apart(buckets, labels, nodes, docs, percent, hashes, id_col, text_col), "links")
+    if not second.isEmpty():
         found = components(as_edges(second).union(found))
     out = signed.select("doc_id", "n_shingles").join(found.withColumnsRenamed({"u": "doc_id", "v": "smallest"}), "doc_id", "left")
     component = F.coalesce("smallest", "doc_id")
