@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from amihan.llm.common import map_arrow, raw_bytes, ship_package, slices, stored
@@ -203,6 +203,30 @@ def _apart(group: pa.Table, least: np.ndarray, hashes: int) -> Iterator[tuple[in
         yield i, to[_survivors(np.broadcast_to(own[i], (len(to), hashes)), own[to], least)]
 
 
+def _blocks(labelled: DataFrame) -> DataFrame:
+    """(band, key, label, start, blocks, all_blocks, alone): the blocks of each component in the buckets that hold several.
+
+    Components of a block's size or more have blocks of their own, the others
+    share blocks.  So a bucket that one large component fills, with few
+    others, has as many pairs of blocks as blocks.
+    """
+    by = ["band", "key"]
+    sizes = labelled.groupBy(*by, "label").agg(F.count("*").alias("n"))
+    sizes = sizes.withColumns({"alone": F.col("n") >= BLOCK, "blocks": F.ceil(F.col("n") / BLOCK).cast("int")})
+    mixed = sizes.groupBy(*by).agg(
+        F.sum("n").alias("size"),
+        F.count("*").alias("labels"),
+        F.ceil(F.coalesce(F.sum(F.when(~F.col("alone"), F.col("n"))), F.lit(0)) / BLOCK).cast("int").alias("shared"),
+        F.coalesce(F.sum(F.when(F.col("alone"), F.col("blocks"))), F.lit(0)).cast("int").alias("own"),
+    )
+    mixed = mixed.where("size > 2 and labels > 1").select(*by, "shared", (F.col("shared") + F.col("own")).alias("all_blocks"))
+    placed = sizes.join(mixed, by)
+    before = F.sum("blocks").over(Window.partitionBy(*by).orderBy("label")) - F.col("blocks")
+    large = placed.where("alone").withColumn("start", (F.col("shared") + before).cast("int"))
+    small = placed.where("not alone").withColumns({"start": F.pmod(F.xxhash64("label"), F.col("shared")).cast("int"), "blocks": F.lit(1)})
+    return large.unionByName(small).drop("n", "shared")
+
+
 def link_apart(
     buckets: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, hashes: int, id_col: str, text_col: str
 ) -> DataFrame:
@@ -217,16 +241,20 @@ def link_apart(
     ship_package(buckets.sparkSession)
     least = least_matches(percent / 100, hashes)
     labelled = buckets.join(labels, "set_id")
-    mixed = labelled.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("label").alias("from"), F.max("label").alias("to"))
-    mixed = mixed.where("size > 2 and `from` <> `to`").select("band", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = labelled.join(mixed, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    rows = labelled.join(_blocks(labelled), ["band", "key", "label"])
+    rows = rows.withColumn("block", F.col("start") + F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
     rows = rows.join(nodes.select("set_id", "signature", "keys"), "set_id")
     rows = stored(rows, "apart")
 
     def in_pairs(members: DataFrame) -> DataFrame:
-        paired = members.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        """Each member once for each block that its own is compared with; blocks of one component aren't with each other."""
+        others = F.filter(
+            F.sequence(F.lit(0), F.col("all_blocks") - 1),
+            lambda b: ~F.col("alone") | (b < F.col("start")) | (b >= F.col("start") + F.col("blocks")),
+        )
+        paired = members.select("*", F.explode(others).alias("other"))
         paired = paired.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-        return paired.drop("other", "blocks")
+        return paired.drop("other", "start", "blocks", "all_blocks", "alone")
 
     def with_partner(group: pa.Table) -> pa.Table:
         found: set[int] = set()

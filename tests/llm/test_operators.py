@@ -103,6 +103,22 @@ def test_near_duplicates(spark, edge_rows, percent):
     assert near_dedup.near_duplicates(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("block", [2, 5, 512])
+def test_near_duplicates_in_blocks(spark, monkeypatch, block):
+    """Texts more and less far from one text: large and small components meet in buckets of several blocks."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    base, pick, rows = words(30, 100).split(), random.Random(31), []
+    for i in range(60):
+        own = list(base)
+        for place in pick.sample(range(100), i % 8):
+            own[place] = f"w{pick.randint(0, 3)}"
+        rows.append((i, " ".join(own), "en", "a"))
+    want = brute_components(rows, 80)
+    assert 1 < len(set(want.values())) < 60
+    out = near_dedup.near_duplicates(documents(spark, rows), 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == want
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     least = near_dedup.least_matches(0.85, 64)
     for n in (16, 32, 64):
