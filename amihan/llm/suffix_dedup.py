@@ -16,6 +16,8 @@ bytes, so an earlier shard means a smaller id.
    and those with digit 1 are streamed against the index of their own higher
    digits: their matching statistics tell which windows start in an earlier
    document.  So each group meets exactly all groups before it.
+   An anchor with more bytes of undecided groups than one index may hold is
+   too common for one task: its windows are dealt by their own hashes instead.
 5. Marks of a document are joined and its bytes are cut.
 
 Shards, and pieces of very long texts in them, have bounded size; of what many
@@ -35,11 +37,12 @@ from pyspark.sql import functions as F
 from amihan.llm.common import block_of, map_arrow, raw_bytes, ship_package, stored
 from amihan.llm.run_index import RunIndex
 from amihan.llm.window_groups import Groups, window_groups
+from amihan.operators.skew import hot_groups, join_groups
 
 SHARD_BYTES = 32 << 20
 #: Bytes hashed at once; longer texts are cut into pieces that overlap by a window.
 SLICE_BYTES = 2 << 20
-#: Bytes of undecided groups in one index, about.
+#: Bytes of undecided groups in one index, about; an anchor with more is dealt by windows.
 INDEX_BYTES = 12 << 20
 #: Groups that are streamed at once.
 STREAMED = 32_768
@@ -286,8 +289,31 @@ def match_groups(length: int):
     return run
 
 
+def common_windows(groups: DataFrame, length: int) -> DataFrame:
+    """(uid, begin, end) of the windows of groups that start in an earlier document, found by the windows' hashes.
+
+    The earliest document of each window is aggregated before the shuffle and
+    joined back, a window with very many places in parts.
+    """
+    windows = groups.select("uid", "key", "start", "text", F.explode(F.sequence(F.lit(0), F.octet_length("text") - length)).alias("place"))
+    window = F.substring("text", F.col("place") + 1, F.lit(length))
+    windows = windows.select(
+        "uid", "key", (F.col("start") + F.col("place")).alias("begin"), F.xxhash64(window).alias("h1"), F.xxhash64(F.lit(length), window).alias("h2")
+    )
+    by = ["h1", "h2"]
+    first = windows.groupBy(*by).agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("places"))
+    first = first.where("`first` < `last`").drop("last")
+    found = join_groups(windows, first.drop("places"), by, F.struct("uid", "begin"), hot_groups(first, by, "places"))
+    return found.where("key > `first`").select("uid", "begin", (F.col("begin") + length).alias("end"))
+
+
 def remove_repeats(
-    docs: DataFrame, length: int = 50, shard_bytes: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    length: int = 50,
+    shard_bytes: int = SHARD_BYTES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    index_bytes: int = INDEX_BYTES,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row, the digest being of the bytes that stay.
 
@@ -315,10 +341,16 @@ def remove_repeats(
     marked = dealt.groupBy("shard").cogroup(replies.groupBy("to")).applyInArrow(mark(length), f"{DOC}, {GROUP}")
     marked = stored(marked, "repeats")
     groups = marked.where("kind = 1")
-    size = groups.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = size // INDEX_BYTES + 1
-    spans = groups.select(F.pmod("anchor", F.lit(parts)).alias("bucket"), "anchor", "content", "key", "uid", "start", "text").groupBy("bucket")
+    of_anchor = groups.groupBy("anchor").agg(F.sum(F.octet_length("text")).alias("size"))
+    common = stored(of_anchor.where(F.col("size") > index_bytes).select("anchor"), "common-grams")
+    by_windows = not common.isEmpty()
+    indexed = groups.join(common, "anchor", "left_anti") if by_windows else groups
+    size = indexed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = size // index_bytes + 1
+    spans = indexed.select(F.pmod("anchor", F.lit(parts)).alias("bucket"), "anchor", "content", "key", "uid", "start", "text").groupBy("bucket")
     spans = spans.applyInArrow(match_groups(length), "uid bigint, begin bigint, end bigint")
+    if by_windows:
+        spans = spans.unionByName(common_windows(groups.join(common, "anchor", "left_semi"), length))
     per_doc = spans.groupBy("uid").agg(F.collect_list("begin").alias("more_begins"), F.collect_list("end").alias("more_ends"))
     documents = marked.where("kind = 0")
     waiting = documents.where("text is not null").select("uid", "doc_id", "n_bytes", "text", "begins", "ends")
