@@ -116,13 +116,13 @@ query("risk_account_status", "customer_id account_status account_status_risk_sco
 @query(
     "risk_watchlist",
     "customer_id watchlist_risk_score:i",
-    "select customer_id, watchlist_risk_score from risk_parts where hit_count > 0",
+    "select customer_id, watchlist_risk_score from risk_parts",
 )
 def _risk_watchlist(x):
-    points = risk.watchlist_points(
-        F.col("confirmed_sanctions_hits"), F.col("highest_match_confidence"), F.col("total_watchlist_hits")
-    )
-    screened = risk.agg_watchlist_hits(x.screening).join(x.customers.select("customer_id"), "customer_id", "left_semi")
+    """Of every customer; without screenings the score is zero."""
+    hits = F.coalesce("total_watchlist_hits", F.lit(0))
+    points = risk.watchlist_points(F.col("confirmed_sanctions_hits"), F.col("highest_match_confidence"), hits)
+    screened = x.customers.select("customer_id").join(risk.agg_watchlist_hits(x.screening), "customer_id", "left")
     return screened.select("customer_id", points.alias("watchlist_risk_score"))
 
 

@@ -158,12 +158,9 @@ query(
     )
 )
 query("fn_array_compact", "customer_id risk_factors:a", "select * from risk")(
-    lambda x: x.risk.withColumns(
-        {
-            "_hits": F.when(F.col("watchlist_risk_score") > 0, 1),
-            "_kyc_score": F.lit(0),
-        }
-    ).select("customer_id", risk_factors().alias("risk_factors"))
+    lambda x: x.risk.join(x.kyc.select("customer_id", F.col("kyc_completeness_score").alias("_kyc_score")), "customer_id", "left")
+    .withColumn("_hits", F.when(F.col("watchlist_risk_score") > 0, 1))
+    .select("customer_id", risk_factors().alias("risk_factors"))
 )
 query(
     "fn_array_any",
@@ -196,19 +193,16 @@ query(
     "gen_series",
     "customer_id day:d txn_count:i",
     """
-select c.customer_id, g.day, count(t.txn_id) as txn_count
-from cust c, (select unnest([date '2026-06-24' + cast(i as integer) for i in range(0, 7)]) as day) g
-left join txn t on t.customer_id = c.customer_id and t.txn_date_ph = g.day group by all
+select g.customer_id, g.day, count(t.txn_id) as txn_count
+from (select customer_id, cast(unnest(generate_series(min(txn_date_ph), max(txn_date_ph), interval 1 day)) as date) as day
+      from txn group by customer_id) g
+left join txn t on t.customer_id = g.customer_id and t.txn_date_ph = g.day group by all
 """,
 )
 def _gen_series(x):
-    """The last seven days of every customer with their transactions, idle days included."""
-    today = as_of(x.params)
-    days = x.customers.select("customer_id", F.explode(F.sequence(F.date_sub(today, 6), today)).alias("day"))
-    counts = (
-        x.transactions.filter(F.col("txn_date_ph").between(F.date_sub(today, 6), today))
-        .groupBy("customer_id", F.col("txn_date_ph").alias("day"))
-        .agg(F.count("*").alias("_n"))
-    )
+    """Every day from a customer's first to last transaction with the day's transactions, idle days included."""
+    counts = x.transactions.groupBy("customer_id", F.col("txn_date_ph").alias("day")).agg(F.count("*").alias("_n"))
+    span = F.sequence(F.min("day"), F.max("day")).alias("days")
+    days = counts.groupBy("customer_id").agg(span).select("customer_id", F.explode("days").alias("day"))
     joined = days.join(counts, ["customer_id", "day"], "left")
     return joined.withColumn("txn_count", F.coalesce("_n", F.lit(0)))

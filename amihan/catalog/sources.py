@@ -194,10 +194,11 @@ def _partition_by_year(x):
 # Reports and monitors -------------------------------------------------------------
 CTR_SQL = """
 select ctr_id, customer_id, branch_code as branch, cast(txn_date_ph as varchar) as txn_date, amount_php as amount, ctr_type,
-  filing_status from covered where txn_date_ph between date '2026-06-01' and date '2026-06-30'
+  filing_status, cast(null as varchar) as filed from covered where txn_date_ph between date '2026-06-01' and date '2026-06-30'
 """
 STR_SQL = """
-select str_id, customer_id, branch_code as branch, max_risk_score as risk_score, indicator_count as indicators,
+select str_id, customer_id, branch_code as branch, strftime(str_determination_ts, '%Y-%m-%dT%H:%M:%S.000') as determined,
+  max_risk_score as risk_score, indicator_count as indicators,
   filing_status, filing_urgency from suspicious
 where str_determination_ts >= date '2026-06-01' and str_determination_ts < date '2026-07-01'
 """
@@ -212,7 +213,7 @@ def _written(x, report: DataFrame, kind: str) -> DataFrame:
 
 query(
     "report_ctr_monthly_csv",
-    "ctr_id customer_id branch txn_date amount:n ctr_type filing_status",
+    "ctr_id customer_id branch txn_date amount:n ctr_type filing_status filed",
     CTR_SQL,
 )(
     lambda x: _written(x, reports.ctr_monthly(x.covered, 2026, 6), "ctr").toDF(
@@ -221,7 +222,7 @@ query(
 )
 query(
     "report_str_monthly_csv",
-    "str_id customer_id branch risk_score:i indicators:i filing_status filing_urgency",
+    "str_id customer_id branch determined risk_score:i indicators:i filing_status filing_urgency",
     STR_SQL,
 )(
     lambda x: _written(x, reports.str_monthly(x.suspicious, 2026, 6), "str").toDF(
