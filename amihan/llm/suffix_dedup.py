@@ -52,20 +52,23 @@ GROUP = "anchor bigint, content bigint, key bigint, start bigint"
 
 
 def _shards(rows: DataFrame, shard_bytes: int) -> list[int]:
-    """The smallest key of each shard, descending: fine ranges of ids, joined until they hold enough bytes."""
+    """The largest key of each shard, descending: fine ranges of ids, joined until they hold enough bytes."""
     sizes = rows.select("key", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
     total = sizes.agg(F.sum("size")).first()[0] or 0
     fine = 4 * (total // shard_bytes + 1)
     # A few rows for each shard.
     ranges = sizes.repartitionByRange(int(fine), "key").groupBy(F.spark_partition_id().alias("part"))
-    found = sorted((r["low"], r["size"]) for r in ranges.agg(F.min("key").alias("low"), F.sum("size").alias("size")).collect())
-    starts, held = [], shard_bytes
-    for low, size in found:
-        if held + size > shard_bytes and (not starts or low > starts[-1]):
-            starts.append(low)
-            held = 0
-        held += size
-    return starts[::-1] or [0]
+    found = sorted((r["high"], r["size"]) for r in ranges.agg(F.max("key").alias("high"), F.sum("size").alias("size")).collect())
+    ends: list[int] = []
+    held = 0
+    for high, size in found:
+        if ends and held + size <= shard_bytes:
+            ends[-1] = high
+            held += size
+        else:
+            ends.append(high)
+            held = size
+    return ends[::-1] or [0]
 
 
 def _pieces(texts: list[memoryview], length: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
@@ -329,10 +332,10 @@ def remove_repeats(
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_ID)).alias("key"),
     )
-    starts = _shards(rows, shard_bytes)
-    shard: Column = F.lit(len(starts) - 1) - block_of(F.col("key"), starts)
+    shard_ends = _shards(rows, shard_bytes)
+    shard: Column = F.lit(len(shard_ends) - 1) - block_of(F.col("key"), shard_ends)
     dealt = rows.withColumn("shard", shard.cast("int"))
-    buckets = len(starts)
+    buckets = len(shard_ends)
     sent = dealt.select("shard", "text").groupBy("shard").applyInArrow(
         send_groups(length, buckets), "bucket int, shard int, anchors binary, contents binary"
     )
