@@ -10,7 +10,9 @@ bytes, so an earlier shard means a smaller id.
    their windows go - and which anchors have groups of different bytes: only
    there can windows be equal in part.
 3. Each shard marks what is decided, and sends the bytes of the first
-   occurrence of each undecided group.
+   occurrence of each undecided group, with the list of the other places the
+   group has in that document or in rows that repeat its id: what is found of
+   the one sent goes at all of them.
 4. Undecided groups of one anchor are ranked by document.  For each binary
    digit of the rank a run-length index is built of the groups with digit 0,
    and those with digit 1 are streamed against the index of their own higher
@@ -46,9 +48,11 @@ SLICE_BYTES = 2 << 20
 INDEX_BYTES = 12 << 20
 #: Groups that are streamed at once.
 STREAMED = 32_768
+#: Places of one group that a row lists; a group with more is sent in several rows.
+PLACES = 8_192
 MAX_ID = (1 << 63) - 1
 DOC = "kind int, uid bigint, doc_id bigint, n_bytes bigint, text binary, begins array<bigint>, ends array<bigint>, n_removed bigint, n_spans bigint, kept_sha256 string"
-GROUP = "anchor bigint, content bigint, key bigint, start bigint"
+GROUP = "anchor bigint, content bigint, key bigint, start bigint, more_uids array<bigint>, more_starts array<bigint>"
 
 
 def _shards(rows: DataFrame, shard_bytes: int) -> list[int]:
@@ -177,7 +181,7 @@ def decide(rows: pa.Table) -> pa.Table:
 def mark(length: int):
     """Step 3: a shard's documents with what is decided, and the bytes of its undecided groups."""
     schema = pa.schema(
-        [("kind", pa.int32()), ("uid", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("text", pa.binary()), ("begins", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("anchor", pa.int64()), ("content", pa.int64()), ("key", pa.int64()), ("start", pa.int64())]
+        [("kind", pa.int32()), ("uid", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("text", pa.binary()), ("begins", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("anchor", pa.int64()), ("content", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("more_uids", pa.list_(pa.int64())), ("more_starts", pa.list_(pa.int64()))]
     )
 
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
@@ -203,9 +207,12 @@ def mark(length: int):
         first = np.concatenate(([True], content[1:] != content[:-1])) if len(order) else np.empty(0, bool)
         owner = keys[g.doc[order]][first][np.cumsum(first) - 1] if len(order) else np.empty(0, np.int64)
         covered[order] |= keys[g.doc[order]] > owner
-        sent = np.zeros(len(g.content), bool)
-        sent[order[first]] = True
-        sent &= listed(open_)
+        # The places of an undecided group under its owner's key, which come first of its places.
+        waits = listed(open_) & ~covered
+        held = order[waits[order]]
+        place = np.arange(len(order)) - np.flatnonzero(first)[np.cumsum(first) - 1] if len(order) else order
+        heads = np.flatnonzero(place[waits[order]] % PLACES == 0)
+        tails = np.append(heads[1:], len(held))
         begins_of = np.searchsorted(g.doc, np.arange(len(texts) + 1))
         columns: dict[str, list] = {name: [] for name in schema.names}
 
@@ -219,16 +226,18 @@ def mark(length: int):
             begins, ends = _merged(g.start[part][c], (g.start[part] + g.windows[part] + length - 1)[c])
             uid = (shard << 32) + i
             common = {"kind": 0, "uid": uid, "doc_id": ids[i], "n_bytes": len(text)}
-            if sent[part].any():
+            if waits[part].any():
                 row(**common, text=bytes(text), begins=begins.tolist(), ends=ends.tolist())
             else:
                 removed, spans, digest = _cut(text, begins, ends)
                 row(**common, n_removed=removed, n_spans=spans, kept_sha256=digest)
-        for j in np.flatnonzero(sent):
+        for n in np.argsort(held[heads]):
+            j, more = held[heads[n]], held[heads[n] + 1 : tails[n]]
             start, i = int(g.start[j]), int(g.doc[j])
+            others = {"more_uids": ((shard << 32) + g.doc[more]).tolist(), "more_starts": g.start[more].tolist()} if len(more) else {}
             row(
                 kind=1, uid=(shard << 32) + i, text=bytes(texts[i][start : start + int(g.windows[j]) + length - 1]),
-                anchor=int(g.anchor[j]), content=int(g.content[j].view(np.int64)), key=int(keys[i]), start=start,
+                anchor=int(g.anchor[j]), content=int(g.content[j].view(np.int64)), key=int(keys[i]), start=start, **others,
             )
         return pa.Table.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
@@ -236,13 +245,19 @@ def mark(length: int):
 
 
 def match_groups(length: int):
-    """Step 4: which windows of a bucket's undecided groups start in an earlier document."""
+    """Step 4: which windows of a bucket's undecided groups start in an earlier document, at each place of the group.
+
+    A group is shorter than two windows, so its windows overlap or touch: from
+    the first found to the last all bytes are covered.
+    """
     schema = pa.schema([("uid", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())])
 
     def run(rows: pa.Table) -> pa.Table:
         texts = rows.column("text").to_pylist()
         anchor, key = rows.column("anchor").to_numpy(), rows.column("key").to_numpy()
         uid, start = rows.column("uid").to_numpy(), rows.column("start").to_numpy()
+        n_more = pa.compute.list_value_length(rows.column("more_uids")).fill_null(0).to_numpy()
+        more_uids, more_starts = (pa.compute.list_flatten(rows.column(c)).to_numpy() for c in ("more_uids", "more_starts"))
         order = np.lexsort((key, anchor))
         new = np.concatenate(([True], anchor[order][1:] != anchor[order][:-1]))
         # Groups of one document have one rank and never meet.
@@ -283,31 +298,43 @@ def match_groups(length: int):
                 stream = stream[np.argsort(-lengths[stream], kind="stable")]
                 for at in range(0, len(stream), STREAMED):
                     some = stream[at : at + STREAMED]
-                    hit, place = np.nonzero(index.matching_statistics(rows_of(some, block), lengths[some]) >= length)
-                    marks.append((uid[some[hit]], start[some[hit]] + place, start[some[hit]] + place + length))
+                    hits = index.matching_statistics(rows_of(some, block), lengths[some]) >= length
+                    any_ = hits.any(axis=1)
+                    some, hits = some[any_], hits[any_]
+                    marks.append((some, hits.argmax(axis=1), hits.shape[1] - 1 - hits[:, ::-1].argmax(axis=1) + length))
         if not marks:
             return schema.empty_table()
-        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*marks)], schema=schema)
+        group, begin, end = (np.concatenate(c) for c in zip(*marks))
+        n = n_more[group]
+        other = np.arange(n.sum()) + np.repeat((np.cumsum(n_more) - n_more)[group] - np.cumsum(n) + n, n)
+        uids, starts = np.concatenate([uid[group], more_uids[other]]), np.concatenate([start[group], more_starts[other]])
+        begin, end = (np.concatenate([x, np.repeat(x, n)]) for x in (begin, end))
+        return pa.Table.from_arrays([pa.array(uids), pa.array(starts + begin), pa.array(starts + end)], schema=schema)
 
     return run
 
 
 def common_windows(groups: DataFrame, length: int) -> DataFrame:
-    """(uid, begin, end) of the windows of groups that start in an earlier document, found by the windows' hashes.
+    """(uid, begin, end) of what the windows of groups that start in an earlier document cover, found by the windows' hashes.
 
     The earliest document of each window is aggregated before the shuffle and
-    joined back, a window with very many places in parts.
+    joined back, a window with very many places in parts.  What is found of a
+    group (see match_groups) goes to all its places.
     """
     windows = groups.select("uid", "key", "start", "text", F.explode(F.sequence(F.lit(0), F.octet_length("text") - length)).alias("place"))
     window = F.substring("text", F.col("place") + 1, F.lit(length))
-    windows = windows.select(
-        "uid", "key", (F.col("start") + F.col("place")).alias("begin"), F.xxhash64(window).alias("h1"), F.xxhash64(F.lit(length), window).alias("h2")
-    )
+    windows = windows.select("uid", "key", "start", "place", F.xxhash64(window).alias("h1"), F.xxhash64(F.lit(length), window).alias("h2"))
     by = ["h1", "h2"]
     first = windows.groupBy(*by).agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("places"))
     first = first.where("`first` < `last`").drop("last")
-    found = join_groups(windows, first.drop("places"), by, F.struct("uid", "begin"), hot_groups(first, by, "places"))
-    return found.where("key > `first`").select("uid", "begin", (F.col("begin") + length).alias("end"))
+    found = join_groups(windows, first.drop("places"), by, F.struct("uid", "start", "place"), hot_groups(first, by, "places"))
+    runs = found.where("key > `first`").groupBy("uid", "start").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    more = groups.where("more_uids is not null").select("uid", "start", F.arrays_zip("more_uids", "more_starts").alias("more"))
+    own = F.struct(F.col("uid").alias("more_uids"), F.col("start").alias("more_starts"))
+    places = F.explode(F.concat(F.array(own), F.coalesce("more", F.array().cast("array<struct<more_uids:bigint,more_starts:bigint>>"))))
+    at = runs.join(more, ["uid", "start"], "left").select(places.alias("at"), "low", "high")
+    begin = F.col("at.more_starts") + F.col("low")
+    return at.select(F.col("at.more_uids").alias("uid"), begin.alias("begin"), (begin - F.col("low") + F.col("high") + length).alias("end"))
 
 
 def remove_repeats(
@@ -350,7 +377,7 @@ def remove_repeats(
     indexed = groups.join(common, "anchor", "left_anti") if by_windows else groups
     size = indexed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = size // index_bytes + 1
-    spans = indexed.select(F.pmod("anchor", F.lit(parts)).alias("bucket"), "anchor", "content", "key", "uid", "start", "text").groupBy("bucket")
+    spans = indexed.select(F.pmod("anchor", F.lit(parts)).alias("bucket"), "anchor", "content", "key", "uid", "start", "text", "more_uids", "more_starts").groupBy("bucket")
     spans = spans.applyInArrow(match_groups(length), "uid bigint, begin bigint, end bigint")
     if by_windows:
         spans = spans.unionByName(common_windows(groups.join(common, "anchor", "left_semi"), length))

@@ -167,6 +167,21 @@ def test_repeats_equal_brute_force(spark, edge_rows, shard_bytes, index_bytes):
     assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("places", [1, 8_192])
+@pytest.mark.parametrize("shard_bytes, index_bytes", [(1_500, 12 << 20), (1 << 20, 12 << 20), (1_500, 300), (1 << 20, 1)])
+def test_repeats_in_one_document_and_under_one_id(spark, monkeypatch, shard_bytes, index_bytes, places):
+    """Groups that a document or rows of one id hold several times, their windows starting in an earlier document."""
+    monkeypatch.setattr(suffix_dedup, "PLACES", places, raising=False)
+    a, b, c, d, p = (words(60 + i, 30)[:n] for i, n in enumerate((70, 70, 55, 55, 60)))
+    rows = [(1, a + p + b, "en", "a"), (2, c + p + d + c + p + d, "en", "a")]
+    rows += [(3, d + p + c, "en", "a"), (3, "." + d + p + c + a[:49], "en", "a"), (None, b + p + d, "en", "a"), (None, b + p + d + b + p + d, "en", "a")]
+    rows += [(4, "b" + "a" * 55, "en", "a"), (5, "a" * 400 + c[:20] + "a" * 90, "en", "a"), (0, words(70, 300), "en", "a")]
+    got = [tuple(r) for r in suffix_dedup.remove_repeats(documents(spark, rows), shard_bytes=shard_bytes, index_bytes=index_bytes).collect()]
+    want = brute_repeats(rows, 50)
+    assert Counter(got) == Counter(want)
+    assert [r[2] for r in want if r[0] == 2] == [120]
+
+
 def test_matching_statistics_equal_brute_force():
     import numpy as np
 
