@@ -356,6 +356,27 @@ def test_personal_data_equals_brute_force(spark, edge_rows):
     assert pii.find_spans(empty(spark)).count() == 0
 
 
+def test_ibans_end_at_their_countrys_length(spark):
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"
+    other = "ZZ" + next(f"{c:02d}" for c in range(2, 99) if (int("12345678901" + "3535" + f"{c:02d}")) % 97 == 1) + " 1234 5678 901"
+    cases = [
+        (f"{de} BIC COBADEFFXXX", [de]),
+        (f"{gb} 500 EUR", [gb]),
+        (f"pay {gb.replace(' ', '')} 500 EUR to {no} NOW", [gb.replace(" ", ""), no]),
+        (f"{de} {gb} {no}", [de, gb, no]),
+        (f"REF AB12 BE12 {de} 7 {other} BIC X", [de, other]),
+        (f"é🙂 {de}, {no}.", [de, no]),
+        (f"{de}1 and {gb[:-1]}3 and X{no}", []),
+        (f"{other} 1", [other]),
+    ]
+    found = pii.find_spans(documents(spark, [(i, t, None, None) for i, (t, _) in enumerate(cases)]))
+    for r in found.collect():
+        assert [r["text"][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "iban"] == cases[r["doc_id"]][1]
+    assert {r["doc_id"]: r["text"] for r in pii.redact(found).collect()}[0] == "<IBAN> BIC COBADEFFXXX"
+    near = documents(spark, [(1, f"{de} is the bank's", None, None), (2, f"{de} {'x' * 41} bank", None, None)])
+    assert [round(r["spans"][0]["score"], 2) for r in pii.find_spans(near).orderBy("doc_id").collect()] == [1.0, 0.8]
+
+
 # Mixing --------------------------------------------------------------------------
 
 
