@@ -19,8 +19,10 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language; a missing label becomes the predicted one."""
-    found = lang_id.with_language(docs).where(F.col("lang_pred") != lang_id.UNKNOWN)
+    """Documents with letters; a missing label becomes the predicted one, ``und`` if no language could be learned."""
+    # Without labels to learn from, every text is unknown.
+    spoken = (F.col("lang_pred") != lang_id.UNKNOWN) | F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    found = lang_id.with_language(docs).where(spoken)
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 

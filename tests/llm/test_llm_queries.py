@@ -45,3 +45,12 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert {r["doc_id"]: r["count"] for r in after.groupBy("doc_id").count().collect()} == copies
     assert docs.where("n_tokens <> size(ids) or n_tokens is null").count() == 0
     assert docs.count() == sum(copies.values())
+
+
+def test_pipeline_keeps_texts_of_unlabelled_tables(spark):
+    import corpus_pipeline as pipeline
+
+    rows = [(1, "Größe", None, "a", 5), (2, "日本", None, "a", 2), (3, "12 .", None, "a", 4), (4, None, None, "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"]: r["lang"] for r in pipeline.identify_language(spark, docs, SF_DIR).collect()}
+    assert kept == {1: "und", 2: "und"}
