@@ -88,8 +88,8 @@ def mix_sources(
     """Every copy of every document, with copy_no (from 1), n_copies and shuffle_key, in global order of the key.
 
     Nulls: a null source is a source of its own (rate 0 under given weights),
-    a null text has size 1, a null id hashes as empty.  Rows that repeat an id
-    get the same count each and stay apart.  An empty table gives no rows.
+    a null text has size 1, a null id hashes as its text.  Rows that repeat an
+    id (or a text, without an id) get the same count each and stay apart.  An empty table gives no rows.
     Input columns of the three added names are replaced; all others stay.
     """
     size = F.coalesce(F.length(text_col), F.lit(0)).cast("long") + 1
@@ -106,7 +106,7 @@ def mix_sources(
         docs = docs.withColumn("__salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
         joined = docs.join(plan, docs[source_col].eqNullSafe(plan["__source"]) & (docs["__salt"] == plan["__salt"]))
         joined = joined.drop(plan["__salt"]).drop(docs["__salt"])
-    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
     draws = F.transform(
         F.sequence(F.lit(1), F.col("__pieces")),
         lambda i: F.size(F.filter(F.col("__cdf"), lambda c: c < uniform(F.lit(str(seed)), name, i.cast("string")))),

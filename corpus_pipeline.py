@@ -27,9 +27,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group linked at a similarity of 0.8."""
-    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group linked at a similarity of 0.8: of its smallest id, and of that id's rows the least with a text.
+
+    Rows that repeat an id are one document.  Rows without an id take a key
+    from their text, after all ids below 2 ** 62; different texts stay apart.
+    """
+    own = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
+    keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), own))
+    gone = near_dedup.near_duplicates(keyed, id_col="__key").where(~F.col("kept")).select(F.col("doc_id").alias("__key")).distinct()
+    digest = F.when(F.col("doc_id").isNull(), F.sha2(F.col("text").cast("binary"), 256))
+    # Combined before the shuffle, so many copies of one row are no hot key.
+    rows = keyed.join(gone, "__key", "left_anti").groupBy("__key", F.col("doc_id").isNull(), digest)
+    least = rows.agg(F.min(F.struct(F.col("text").isNull().alias("none"), *COLUMNS)).alias("least"))
+    return least.select(*(F.col(f"least.{c}").alias(c) for c in COLUMNS))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

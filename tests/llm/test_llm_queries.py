@@ -54,3 +54,23 @@ def test_pipeline_keeps_texts_of_unlabelled_tables(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = {r["doc_id"]: r["lang"] for r in pipeline.identify_language(spark, docs, SF_DIR).collect()}
     assert kept == {1: "und", 2: "und"}
+
+
+def test_pipeline_keeps_one_row_of_repeated_and_missing_ids(spark):
+    import corpus_pipeline as pipeline
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (1, a), (1, a + " more"), (2, a), (None, a), (None, b), (None, b), (None, b + " more"), (None, c), (7, d), (7, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert out.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert len(kept) == 4 and {(1, a), (None, c), (7, d)} < set(kept)
+    assert {t for _, t in kept} - {a, c, d} < {b, b + " more"}
+
+
+def test_mixing_draws_rows_without_id_apart(spark):
+    rows = [(None, f"text {i:03d}", "en", "a", 8) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    texts = {r["text"] for r in mixing.mix_sources(docs).collect()}
+    assert 150 < len(texts) < 230
