@@ -8,8 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amihan.llm import byte_bpe, chat, lang_id, mixing, near_dedup, pii, piecewise_hash, suffix_dedup, topk_nra, wacz
-from amihan.llm.common import table
+from amihan.llm import (
+    byte_bpe,
+    chat,
+    collocations,
+    filter_audit,
+    hilbert,
+    lang_id,
+    mixing,
+    near_dedup,
+    pii,
+    piecewise_hash,
+    suffix_dedup,
+    topk_nra,
+    wacz,
+)
+from amihan.llm.common import table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -245,3 +259,100 @@ from shingled join (select doc_id, min(r) as c from reach group by doc_id) using
 @query("op10_near_duplicates", OP10_SQL)
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query("op11_hilbert_shards")
+def op11_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards of equal counts along a curve through language, source and size; texts are not shuffled."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "lang",
+        "source",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(text_or_empty("text").cast("binary")).alias("text_crc32"),
+    )
+    found = hilbert.shards(docs, 16, ("lang", "source"), ("size",), ("doc_id", "text_crc32"))
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve"
+    )
+
+
+OP12_SQL = """
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), runs as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+  select lang, size, array_to_string(w[i:i + size - 1], ' ') as phrase, count(*) as a
+  from (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i from runs, (values (1), (2), (3), (4)) t(size) where len(w) >= size)
+  group by all
+), totals as (select lang, sum(a)::bigint as n from grams where size = 1 group by lang),
+frequent as materialized (select * from grams where a >= 30),
+cuts as (
+  select *, array_to_string(p[1:k], ' ') as x, array_to_string(p[k + 1:size], ' ') as y
+  from (select *, unnest(range(1, size)) as k from (select *, string_split(phrase, ' ') as p from frequent where size > 1))
+), scored as (
+  select c.lang, c.size, c.phrase, c.a, l.a as l, r.a as r, (2000000::hugeint * c.a) // (l.a + r.a) as score,
+    row_number() over (partition by c.lang, c.phrase order by (2000000::hugeint * c.a) // (l.a + r.a), k) as best
+  from cuts c join frequent l on l.lang = c.lang and l.phrase = c.x join frequent r on r.lang = c.lang and r.phrase = c.y
+), inner_ as (
+  select lang, array_to_string(p[i:i + n - 1], ' ') as phrase, max(a) as longer
+  from (select *, unnest(range(1, size - n + 2)) as i
+        from (select *, string_split(phrase, ' ') as p from frequent where size > 2), (values (2), (3)) t(n) where n < size)
+  group by all
+), free as (
+  select s.* from scored s left join inner_ i on i.lang = s.lang and i.phrase = s.phrase
+  where best = 1 and (longer is null or 100 * longer < 80 * s.a)
+), ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from free)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000
+"""
+
+
+@query("op12_collocations", OP12_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+with rows_ as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), marks as (
+  select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id
+), checked as (
+  select part, coalesce(good, 0) as good, coalesce(m.toxic, 0) as toxic,
+    (len(w) < 200)::int as a, (100 * len(list_distinct(w)) < 50 * len(w))::int as b,
+    (100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 2 * length(text))::int as c,
+    regexp_matches(text, '[#$%&*|]')::int as d,
+    coalesce(r.doc_id > min(r.doc_id) over (partition by text), false)::int as e
+  from rows_ r left join marks m on r.doc_id = m.doc_id
+), failing as (
+  select part, good, toxic, [a, b, c, d, e] as f, a + b + c + d + e as fails from checked
+), letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x, unnest(range(1, 6)) as i),
+orders as (
+  select o.x || p.x || q.x || r.x || s.x as filter_order, [o.i, p.i, q.i, r.i, s.i] as pos
+  from letters o, letters p, letters q, letters r, letters s
+  where len(list_distinct([o.i, p.i, q.i, r.i, s.i])) = 5
+), cells as (select part, f, fails, count(*) as docs, sum(good) as good, sum(toxic) as toxic from failing group by all),
+steps as (
+  select part, filter_order, step, pos[step] as own, list_sum(list_transform(pos[:step - 1], lambda j: f[j])) as before,
+    f[pos[step]] as now, fails, docs, good, toxic
+  from cells, orders, (select unnest(range(1, 6)) as step)
+), counted as (
+  select part, filter_order, step, own,
+    coalesce(sum(docs) filter (coalesce(before, 0) = 0 and now = 0), 0)::bigint as kept,
+    coalesce(sum(docs) filter (coalesce(before, 0) = 0 and now = 1), 0)::bigint as removed,
+    coalesce(sum(docs) filter (before > 0 and now = 1), 0)::bigint as redundant,
+    coalesce(sum(docs) filter (now = 1 and fails = 1), 0)::bigint as unique_fails,
+    coalesce(sum(good) filter (coalesce(before, 0) = 0 and now = 1), 0)::bigint as good_lost,
+    coalesce(sum(toxic) filter (coalesce(before, 0) = 0 and now = 1), 0)::bigint as toxic_lost
+  from steps group by all
+)
+select * exclude (own), sum(removed) over (partition by part, own)::bigint as shapley from counted
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
