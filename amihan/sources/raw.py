@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amihan.schemas import RAW
+from amihan.sources import published
 
 
 def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One landing table with its declared columns.
+    """One landing table with its declared columns, published or a plain folder.
 
     The schema is declared, so nothing is inferred; Catalyst prunes columns
     and pushes filters into the scan.
     """
+    landed = published.read(spark, f"{root.rstrip('/')}/{name}")
+    if landed is not None:
+        return scan(landed, name)
     return spark.read.schema(RAW[name]).parquet(f"{root.rstrip('/')}/{name}")
 
 
@@ -34,6 +38,6 @@ def read_transactions_between(spark: SparkSession, path: str, first: date, last:
 
     The year predicate prunes folders; the date predicate prunes row groups.
     """
-    return spark.read.parquet(path).filter(
+    return published.read(spark, path).filter(
         F.col("txn_year").between(first.year, last.year) & F.col("txn_date_ph").between(first, last)
     )

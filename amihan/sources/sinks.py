@@ -1,38 +1,30 @@
 """Sinks: how result rows reach Parquet tables.
 
-Nothing here reads and overwrites one path in a single plan: appends only
-add files, and a merged table goes to a new path.
+Every table is published (see ``published``): a run that dies half-way leaves
+the former table, and a table may be rebuilt from itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from amihan.sources import published
 from amihan.sources.raw import with_year
 
 # The columns an incoming customer may change.
 UPSERT_COLUMNS = ("customer_name", "risk_tier", "kyc_last_update_date")
 
 
-def overwrite_table(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Replace a table; ``cluster_by`` sorts within files for min/max pruning."""
-    out = df.sortWithinPartitions(*cluster_by) if cluster_by else df
-    out.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+#: Transactions of one file of a year.
+ROWS_PER_FILE = 5_000_000
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before its first write."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def overwrite_table(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> DataFrame:
+    """Replace a table; ``cluster_by`` sorts within files for min/max pruning."""
+    return published.publish(df, path, cluster_by)
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None, last: bool = False) -> DataFrame:
@@ -63,10 +55,8 @@ def rows_with_new_keys(new: DataFrame, existing: DataFrame | None, keys: Sequenc
 
 def append_new_only(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Append one row for each unknown key; known keys keep their first row."""
-    spark = new.sparkSession
-    fresh = rows_with_new_keys(one_per_key(new, keys), read_if_exists(spark, path), keys)
-    fresh.select(*new.columns).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    fresh = rows_with_new_keys(one_per_key(new, keys), published.read(new.sparkSession, path), keys)
+    return published.append(fresh.select(*new.columns), path)
 
 
 def _on_dates_of(table: DataFrame, batch: DataFrame) -> DataFrame:
@@ -92,17 +82,14 @@ def append_ignore_conflict(
     repeated in the batch the first row by ``order`` stays; the order column
     is not stored.
     """
-    spark = batch.sparkSession
-    existing = read_if_exists(spark, path)
+    existing = published.read(batch.sparkSession, path)
     if by_year and existing is not None:
         existing = _on_dates_of(existing, batch)
     stored = [c for c in batch.columns if c != order]
     fresh = rows_with_new_keys(one_per_key(batch, keys, order), existing, keys).select(*stored)
     if by_year:
-        with_year(fresh).write.mode("append").partitionBy("txn_year").parquet(path)
-    else:
-        fresh.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        return published.append(_by_year(fresh), path, ["txn_date_ph"], "txn_year", ROWS_PER_FILE)
+    return published.append(fresh, path)
 
 
 def merge_customers(current: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:
@@ -110,8 +97,7 @@ def merge_customers(current: DataFrame, incoming: DataFrame, order: str | None =
 
     ``current`` holds one row per customer.  Of a customer repeated in
     ``incoming`` the last row by ``order`` gives the three columns and the
-    first one the others.  Write the result to a new path, never over
-    ``current``.
+    first one the others.
     """
     is_known = F.col("cur._known").isNotNull()
     is_incoming = F.col("inc._known").isNotNull()
@@ -132,10 +118,36 @@ def merge_customers(current: DataFrame, incoming: DataFrame, order: str | None =
     return joined.select(*[pick(c) for c in current.columns])
 
 
-def write_by_year(transactions: DataFrame, path: str) -> None:
+def _by_year(transactions: DataFrame) -> DataFrame:
+    """Rows dealt by year: small years come together in one task, large ones are split, by their bytes."""
+    return with_year(transactions).hint("rebalance", F.col("txn_year"))
+
+
+def write_by_year(transactions: DataFrame, path: str) -> DataFrame:
     """Write transactions in one folder per year.
 
-    Each task writes to its own files per year: no shuffle gathers a year.
-    Files are sorted by date, so that row groups can be skipped.
+    Adaptive execution deals the rows so that a year has few files of bounded
+    size and no task gathers a whole one.  Files are sorted by date, so that
+    row groups can be skipped.
+    """
+    return published.publish(_by_year(transactions), path, ["txn_date_ph"], "txn_year", ROWS_PER_FILE)
+
+
+def replace_years(transactions: DataFrame, path: str) -> DataFrame:
+    """Replace the years that occur in the rows; all other years keep their files."""
+    return published.replace_partitions(_by_year(transactions), path, "txn_year", ["txn_date_ph"], ROWS_PER_FILE)
+
+
+def merge_late(late: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """Put late or corrected transactions into their years: a row replaces that of its key.
+
+    Only the years of the batch are read and written.  A corrected row that
+    moves to another year is another key, as the key holds the date.
     """
-    with_year(transactions).sortWithinPartitions("txn_year", "txn_date_ph").write.mode("overwrite").partitionBy("txn_year").parquet(path)
+    table = published.read(late.sparkSession, path)
+    if table is None:
+        return write_by_year(one_per_key(late, keys), path)
+    # A batch touches few years; a year is one folder.
+    years = [r[0] for r in with_year(late).select("txn_year").distinct().collect()]
+    kept = rows_with_new_keys(table.where(F.col("txn_year").isin(years)).drop("txn_year"), late, keys)
+    return replace_years(kept.unionByName(one_per_key(late, keys).select(*kept.columns)), path)
