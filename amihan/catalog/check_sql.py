@@ -60,9 +60,9 @@ def _relation(name: str, sql: str) -> None:
 # Seeds ---------------------------------------------------------------------
 _relation("seed_branches", _values(seed_texts.PH_BRANCHES, "sssss"))
 _relation("seed_fatf", _values(seed_texts.FATF_JURISDICTIONS, "sssdd"))
-_relation("seed_weights", _values(seed_texts.AML_RISK_WEIGHTS, "ssn"))
+_relation("seed_weights", _values(seed_texts.AML_RISK_WEIGHTS, "ssns"))
 _relation("seed_holidays", _values(seed_texts.PH_NON_WORKING_DAYS, "dss"))
-_relation("seed_indicators", _values(seed_texts.STR_INDICATORS_REF, "sssns"))
+_relation("seed_indicators", _values(seed_texts.STR_INDICATORS_REF, "ssssns"))
 
 # Landing tables ------------------------------------------------------------
 _TRANSACTIONS = """
@@ -124,9 +124,9 @@ _relation(
     "raw_docs",
     f"""
 select 'D' || lpad(cast(k as varchar), 12, '0') || '-' || i as document_id,
-  'CUST' || lpad(cast(k as varchar), 12, '0') as customer_id,
-  case when (k + i) % 3 <> 0 then {_pick("'PASSPORT','NATIONAL_ID','DRIVERS_LICENSE','POSTAL_ID'", "i - 1")} end as document_type,
-  'N' || k || i as document_number, case when k % 30 <> 7 then {AS_OF} - cast(30 + k % 1000 as integer) end as issue_date,
+  case when k % 100 = 33 and i = 4 then 'GONE' else 'CUST' end || lpad(cast(k as varchar), 12, '0') as customer_id,
+  case when (k + i) % 100 <> 0 then {_pick("'PASSPORT','NATIONAL_ID','DRIVERS_LICENSE','POSTAL_ID'", "i - 1")} end as document_type,
+  'N' || k || i as document_number, case when k % 100 <> 7 then {AS_OF} - cast(30 + k % 1000 as integer) end as issue_date,
   case when (k + i) % 20 = 0 then null when (k * i) % 7 = 0 then {AS_OF} - cast(1 + k % 365 as integer)
     else {AS_OF} + cast((k * 13 + i * 50) % 1500 as integer) end as expiry_date,
   'PH' as issuing_country, 'DFA' as issuing_authority
@@ -137,12 +137,12 @@ _relation(
     "raw_screening",
     f"""
 select 'W' || lpad(cast(k as varchar), 12, '0') as screening_id,
-  'CUST' || lpad(cast(k as varchar), 12, '0') as customer_id,
-  case when k % 4 = 0 then {AS_OF} - cast(k % 60 as integer) end as screening_date,
+  case when k % 100 = 66 then 'GONE' else 'CUST' end || lpad(cast(k as varchar), 12, '0') as customer_id,
+  case when k % 100 <> 50 then {AS_OF} - cast(k % 60 as integer) end as screening_date,
   {_pick("'AMLC_LIST','UN_SANCTIONS','OFAC_SDN','INTERNAL_BLACKLIST'", "(k // 4) % 4")} as watchlist_source,
   {_pick("'NO_MATCH','POSSIBLE_MATCH','CONFIRMED_MATCH','FALSE_POSITIVE'", "(k // 16) % 4")} as match_status,
   c_name as matched_name, cast((k * 7) % 101 as decimal(5,2)) as match_score,
-  cast((k * 7) % 101 as decimal(5,2)) as match_confidence_pct, cast(null as varchar) as notes
+  cast(case when k % 100 = 25 then 105 else (k * 7) % 101 end as decimal(5,2)) as match_confidence_pct, cast(null as varchar) as notes
 from (select c_custkey as k, c_name from customer)
 """,
 )

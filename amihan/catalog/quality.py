@@ -1,7 +1,7 @@
 """Data-quality checks as registered queries.
 
-The landing data of the star mapping is clean, so the unique and range checks
-also run on columns where failures are known to exist.
+The landing data of the star mapping has unique keys, so that check also runs
+on columns known to repeat.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from amihan.catalog.registry import query
 from amihan.operators import quality as dq
+from amihan.session import run_folder
 
 _SQL_NAMES = {
     "stg_transactions": "txn",
@@ -101,8 +102,12 @@ query(
 query(
     "dq_accepted_range",
     "screening_id match_confidence_pct:n",
-    "select * from screening where match_confidence_pct < 5 or match_confidence_pct > 90",
-)(lambda x: dq.out_of_range(x.screening, "match_confidence_pct", 5, 90))
+    "select * from screening where match_confidence_pct < 0 or match_confidence_pct > 100",
+)(
+    lambda x: dq.out_of_range(
+        x.screening, "match_confidence_pct", *dq.ACCEPTED_RANGE["stg_watchlist"]["match_confidence_pct"]
+    )
+)
 query(
     "dq_check_enum",
     "table_name column_name value n:i",
@@ -110,29 +115,71 @@ query(
 )(lambda x: dq.unexpected_values(x.landing, dq.LANDING_VALUES))
 
 
+_CHILD_IDS = {"raw_kyc_documents": "document_id", "raw_watchlist_screening": "screening_id"}
+
+
 @query(
     "dq_foreign_key",
     "table_name row_id customer_id",
-    """
-select 'raw_kyc_documents' as table_name, document_id as row_id, customer_id from raw_docs
-where customer_id not in (select customer_id from raw_cust where not is_pep)
-union all select 'raw_watchlist_screening', screening_id, customer_id from raw_screening
-where customer_id not in (select customer_id from raw_cust where not is_pep)
-""",
+    " union all ".join(
+        f"select '{t}' as table_name, {c} as row_id, customer_id from {_SQL_NAMES[t]} "
+        "where customer_id not in (select customer_id from raw_cust)"
+        for t, c in _CHILD_IDS.items()
+    ),
 )
 def _dq_foreign_key(x):
-    """Against the customers without PEPs, so that orphans exist."""
-    parents = x.raw_customers.filter("not is_pep")
-    tables = {"raw_kyc_documents": "document_id", "raw_watchlist_screening": "screening_id"}
+    """Landing rows of customers that do not exist."""
     parts = [
-        dq.orphans(x.landing[t], parents, "customer_id").select(
+        dq.orphans(x.landing[t], x.raw_customers, "customer_id").select(
             F.lit(t).alias("table_name"), F.col(c).alias("row_id"), "customer_id"
         )
-        for t, c in tables.items()
+        for t, c in _CHILD_IDS.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _reasons_sql(table: str) -> str:
+    rules = [(f"{c}:not_null", f"{c} is null") for c in dq.LANDING_NOT_NULL[table]]
+    rules += [(f"{c}:accepted_values", f"{c} not in {_list(v)}") for c, v in dq.LANDING_VALUES[table].items()]
+    if table in dq.FOREIGN_KEYS:
+        key = dq.FOREIGN_KEYS[table]
+        rules.append((f"{key}:foreign_key", f"{key} not in (select customer_id from raw_cust)"))
+    found = ", ".join(f"case when {bad} then '{rule}' end" for rule, bad in rules)
+    key = {"raw_transactions": "txn_id", "raw_customers": "customer_id", **_CHILD_IDS}[table]
+    return (
+        f"select '{table}' as table_name, cast({key} as varchar) as row_id, array_to_string([{found}], '|') as reasons "
+        f"from {_SQL_NAMES[table]}"
+    )
+
+
+@query(
+    "dq_quarantine",
+    "table_name row_id reasons n_accepted:i n_rejected:i",
+    " union all ".join(
+        "select table_name, row_id, reasons, n_rows - n_rejected as n_accepted, n_rejected from "
+        f"(select *, count(*) over () as n_rows, count(*) filter (reasons <> '') over () as n_rejected from ({_reasons_sql(t)})) "
+        "where reasons <> ''"
+        for t in dq.LANDING_VALUES
+    ),
+)
+def _dq_quarantine(x):
+    """The rejected rows of each landing table as written, with the counts of the write."""
+    parts = []
+    for table, df in x.landing.items():
+        key = {"raw_transactions": "txn_id", "raw_customers": "customer_id", **_CHILD_IDS}[table]
+        split = dq.quarantine(df, table, run_folder(x.spark, "quarantine"), x.raw_customers)
+        parts.append(
+            split.rejected.select(
+                F.lit(table).alias("table_name"),
+                F.col(key).alias("row_id"),
+                F.array_join("reasons", "|").alias("reasons"),
+                F.lit(split.n_accepted).alias("n_accepted"),
+                F.lit(split.n_rejected).alias("n_rejected"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _report_sql() -> str:
     def row(table: str, column: str, test: str, count: str) -> str:
         return (

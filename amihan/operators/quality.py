@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from amihan.sources import published
+
 # ---------------------------------------------------------------------------
 # The declared checks.
 # ---------------------------------------------------------------------------
@@ -72,6 +74,34 @@ LANDING_VALUES = {
         "match_status": ("CONFIRMED_MATCH", "POSSIBLE_MATCH", "FALSE_POSITIVE", "NO_MATCH"),
     },
 }
+LANDING_NOT_NULL = {
+    "raw_transactions": (
+        "txn_id",
+        "customer_id",
+        "branch_code",
+        "txn_date_ph",
+        "txn_time_ph",
+        "txn_type",
+        "txn_channel",
+        "transaction_direction",
+        "amount_local",
+        "currency_code",
+        "amount_php",
+    ),
+    "raw_customers": (
+        "customer_id",
+        "customer_name",
+        "customer_type",
+        "is_pep",
+        "risk_tier",
+        "account_status",
+        "account_opened_date",
+        "branch_code",
+    ),
+    "raw_kyc_documents": ("document_id", "customer_id", "document_type", "document_number", "issue_date"),
+    "raw_watchlist_screening": ("screening_id", "customer_id", "screening_date", "watchlist_source", "match_status"),
+}
+FOREIGN_KEYS = {"raw_kyc_documents": "customer_id", "raw_watchlist_screening": "customer_id"}
 
 
 @dataclass(frozen=True)
@@ -105,7 +135,8 @@ def row_checks(df: DataFrame, table: str, checks: TableChecks) -> DataFrame:
     tests = {(c, "not_null"): _failures(F.col(c).isNull()) for c in checks.not_null}
     tests |= {(c, "accepted_range"): _failures(_outside(c, *limits)) for c, limits in ranges.items()}
     slots = {key: f"_t{i}" for i, key in enumerate(tests)}
-    groups = df.groupBy(*accepted).agg(*[test.alias(slots[key]) for key, test in tests.items()])
+    counted = [test.alias(slots[key]) for key, test in tests.items()]
+    groups = df.groupBy(*accepted).agg(*counted) if counted else df.select(*accepted).distinct()
     totals = {key: F.coalesce(F.sum(slots[key]), F.lit(0)) for key in tests}
     totals |= {
         (c, "accepted_values"): F.countDistinct(F.when(_not_in(c, values), F.col(c)))
@@ -161,6 +192,26 @@ def dq_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def landing_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per declared value list and foreign key of the landing tables, with its failures.
+
+    Lists count different unknown values, foreign keys the rows without a parent.
+    """
+    parts = [row_checks(tables[t], t, TableChecks(accepted=LANDING_VALUES[t])) for t in LANDING_VALUES]
+    for table, key in FOREIGN_KEYS.items():
+        lost = orphan_keys(tables[table], tables["raw_customers"], key)
+        rows = tables[table].groupBy(key).agg(F.count("*").alias("_n")).join(lost, key, "left_semi")
+        parts.append(
+            rows.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("failures")).select(
+                F.lit(table).alias("table_name"),
+                F.lit(key).alias("column_name"),
+                F.lit("foreign_key").alias("test_name"),
+                "failures",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def unexpected_values(
     tables: Mapping[str, DataFrame], expected: Mapping[str, Mapping[str, Sequence[str]]]
 ) -> DataFrame:
@@ -195,5 +246,68 @@ def landing_split(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
 
 
 def orphans(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Rows whose key has no parent; NULL keys pass."""
-    return children.filter(F.col(key).isNotNull()).join(parents.select(key), key, "left_anti")
+    """Rows whose key has no parent; NULL keys pass.
+
+    Keys meet the parents once each, so a key with a third of all rows is one
+    row of that join; whole rows meet only the keys found without a parent.
+    """
+    return children.join(orphan_keys(children, parents, key), key, "left_semi").select(*children.columns)
+
+
+def orphan_keys(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+    """Each key of the children that no parent has."""
+    named = children.select(key).where(F.col(key).isNotNull()).distinct()
+    return named.join(parents.select(key), key, "left_anti")
+
+
+def with_reasons(df: DataFrame, table: str, parents: DataFrame | None = None) -> DataFrame:
+    """Adds ``reasons``: the declared landing rules that a row breaks, such as ``txn_type:accepted_values``.
+
+    An empty array is a clean row.  Parents are the rows a declared foreign
+    key refers to; without them that rule is not tested.
+    """
+    broken = {f"{c}:not_null": F.col(c).isNull() for c in LANDING_NOT_NULL[table]}
+    broken |= {f"{c}:accepted_values": _not_in(c, values) for c, values in LANDING_VALUES[table].items()}
+    rows = df
+    if parents is not None and table in FOREIGN_KEYS:
+        key = FOREIGN_KEYS[table]
+        missing = orphan_keys(df, parents, key).select(F.col(key).alias("_missing"))
+        rows = df.join(missing, F.col(key) == F.col("_missing"), "left")
+        broken[f"{key}:foreign_key"] = F.col("_missing").isNotNull()
+    reasons = F.array_compact(F.array(*[F.when(bad, F.lit(rule)) for rule, bad in broken.items()]))
+    return rows.select(*[rows[c] for c in df.columns], reasons.alias("reasons"))
+
+
+@dataclass(frozen=True)
+class Split:
+    """Rows of a landing batch as written, and how many there are of each kind."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    n_accepted: int
+    n_rejected: int
+
+
+def quarantine(df: DataFrame, table: str, path: str, parents: DataFrame | None = None) -> Split:
+    """Write a batch once, accepted and rejected rows in folders of their own, counted on the way.
+
+    The rejected rows keep their ``reasons``.  The counts come from the write
+    itself; they are compared with what can be read back, so a batch is
+    either wholly published or an error.
+    """
+    seen = Observation(f"{table} landing")
+    clean = F.size("reasons") == 0
+    flagged = with_reasons(df, table, parents).withColumn("accepted", clean)
+    counted = flagged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("accepted")).alias("accepted"))
+    written = published.publish(counted, path, partition_by="accepted")
+    counts = seen.get
+    found = {r["accepted"]: r["n"] for r in written.groupBy("accepted").agg(F.count("*").alias("n")).collect()}
+    n_accepted, n_rejected = counts["accepted"], counts["rows"] - counts["accepted"]
+    if (found.get(True, 0), found.get(False, 0)) != (n_accepted, n_rejected):
+        raise RuntimeError(f"{table}: {n_accepted} accepted and {n_rejected} rejected rows were written, read back: {found}")
+    return Split(
+        written.where("accepted").select(*df.columns),
+        written.where("not accepted").select(*df.columns, "reasons"),
+        n_accepted,
+        n_rejected,
+    )

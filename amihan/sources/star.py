@@ -119,14 +119,19 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_kyc_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four documents per customer; some lack their type or issue date and are rejected later."""
+    """Four documents per customer.
+
+    One in a hundred lacks its type, one customer in a hundred the issue dates
+    of all documents; those are rejected later.  One in four hundred refers to
+    a customer that does not exist.
+    """
     numbered = _read(spark, sf_dir, "customer").selectExpr("c_custkey as k", "explode(sequence(1, 4)) as i")
     return numbered.selectExpr(
         f"{_padded('D', 'k')} || '-' || i as document_id",
-        f"{_padded('CUST', 'k')} as customer_id",
-        f"case when (k + i) % 3 <> 0 then {_pick(DOCUMENT_TYPES, 'i - 1')} end as document_type",
+        f"case when k % 100 = 33 and i = 4 then {_padded('GONE', 'k')} else {_padded('CUST', 'k')} end as customer_id",
+        f"case when (k + i) % 100 <> 0 then {_pick(DOCUMENT_TYPES, 'i - 1')} end as document_type",
         "'N' || k || i as document_number",
-        f"case when k % 30 <> 7 then date_sub({TODAY}, cast(30 + k % 1000 as int)) end as issue_date",
+        f"case when k % 100 <> 7 then date_sub({TODAY}, cast(30 + k % 1000 as int)) end as issue_date",
         f"""case when (k + i) % 20 = 0 then null
             when (k * i) % 7 = 0 then date_sub({TODAY}, cast(1 + k % 365 as int))
             else date_add({TODAY}, cast((k * 13 + i * 50) % 1500 as int)) end as expiry_date""",
@@ -137,17 +142,21 @@ def raw_kyc_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_watchlist_screening(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A screening per customer; three of four lack their date and are rejected later."""
+    """A screening per customer.
+
+    One in a hundred each lacks its date and is rejected later, has more than
+    100 per cent, and refers to a customer that does not exist.
+    """
     screened = _read(spark, sf_dir, "customer").selectExpr("c_custkey as k", "c_name")
     return screened.selectExpr(
         f"{_padded('W', 'k')} as screening_id",
-        f"{_padded('CUST', 'k')} as customer_id",
-        f"case when k % 4 = 0 then date_sub({TODAY}, cast(k % 60 as int)) end as screening_date",
+        f"case when k % 100 = 66 then {_padded('GONE', 'k')} else {_padded('CUST', 'k')} end as customer_id",
+        f"case when k % 100 <> 50 then date_sub({TODAY}, cast(k % 60 as int)) end as screening_date",
         f"{_pick(SOURCES, '(k div 4) % 4')} as watchlist_source",
         f"{_pick(MATCHES, '(k div 16) % 4')} as match_status",
         "c_name as matched_name",
         "cast((k * 7) % 101 as decimal(5,2)) as match_score",
-        "cast((k * 7) % 101 as decimal(5,2)) as match_confidence_pct",
+        "cast(case when k % 100 = 25 then 105 else (k * 7) % 101 end as decimal(5,2)) as match_confidence_pct",
         "cast(null as string) as notes",
         *AUDIT,
     )
