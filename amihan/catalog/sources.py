@@ -17,6 +17,7 @@ from amihan.operators.signals import jurisdiction_hit
 from amihan.plans import reports
 from amihan.session import run_folder
 from amihan.sources import raw, sinks, star
+from amihan.sources.seeds import load_seeds, write_seed_files
 
 # Scans --------------------------------------------------------------------------
 query(
@@ -49,48 +50,50 @@ query(
 
 @query(
     "seed_csv_scan",
-    "seed entry rows_using_it:i",
+    "seed entry description rows_using_it:i",
     """
-select 'ph_branches' as seed, branch_code as entry, count(txn_id) as rows_using_it
+select 'ph_branches' as seed, branch_code as entry, branch_name as description, count(txn_id) as rows_using_it
 from seed_branches left join txn using (branch_code) group by all
-union all select 'ph_non_working_days', cast(calendar_date as varchar), count(txn_id)
+union all select 'ph_non_working_days', cast(calendar_date as varchar), holiday_name, count(txn_id)
 from seed_holidays left join txn_history on calendar_date = txn_date_ph group by all
-union all select 'aml_risk_weights', risk_category || '/' || risk_subcategory, count(customer_id)
+union all select 'aml_risk_weights', risk_category || '/' || risk_subcategory, description, count(customer_id)
 from seed_weights left join cust on is_pep and risk_subcategory = 'PEP_CUSTOMER' group by all
-union all select 'fatf_jurisdictions', iso2_code, count(txn_id) from seed_fatf left join txn
+union all select 'fatf_jurisdictions', iso2_code, country_name, count(txn_id) from seed_fatf left join txn
   on contains(upper(counterparty_bank), iso2_code) or contains(upper(purpose_description), country_name) group by all
-union all select 'str_indicators_ref', indicator_code, count(str_candidate_id)
+union all select 'str_indicators_ref', indicator_code, description, count(str_candidate_id)
 from seed_indicators left join candidates on list_contains(str_indicators, indicator_code) group by all
 """,
 )
 def _seed_csv_scan(x):
-    """Every entry of the five seeds with the rows that refer to it."""
-    s = x.seeds
+    """Every entry of the five seeds, read from CSV files, with the rows that refer to it."""
+    root = run_folder(x.spark, "seeds")
+    write_seed_files(x.spark, root)
+    s = load_seeds(x.spark, root)
 
     def used(seed: str, entries: DataFrame, uses: DataFrame) -> DataFrame:
         counts = uses.toDF("entry").groupBy("entry").agg(F.count("*").alias("_n"))
-        return entries.toDF("entry").join(counts, "entry", "left").select(
-            F.lit(seed).alias("seed"), "entry", F.coalesce("_n", F.lit(0)).alias("rows_using_it")
+        return entries.toDF("entry", "description").join(counts, "entry", "left").select(
+            F.lit(seed).alias("seed"), "entry", "description", F.coalesce("_n", F.lit(0)).alias("rows_using_it")
         )
 
     named = F.array_compact(F.array(*[F.when(jurisdiction_hit(j), j.iso2_code) for j in s.jurisdictions]))
     weight_key = F.concat_ws("/", "risk_category", "risk_subcategory")
     parts = [
-        used("ph_branches", s.branches.select("branch_code"), x.transactions.select("branch_code")),
+        used("ph_branches", s.branches.select("branch_code", "branch_name"), x.transactions.select("branch_code")),
         used(
             "ph_non_working_days",
-            s.non_working_days.select(F.col("calendar_date").cast("string")),
+            s.non_working_days.select(F.col("calendar_date").cast("string"), "holiday_name"),
             x.history.select(F.col("txn_date_ph").cast("string")),
         ),
         used(
             "aml_risk_weights",
-            s.weights.select(weight_key),
+            s.weights.select(weight_key, "description"),
             x.customers.filter("is_pep").select(F.lit("PEP/PEP_CUSTOMER")),
         ),
-        used("fatf_jurisdictions", s.fatf.select("iso2_code"), x.transactions.select(F.explode(named))),
+        used("fatf_jurisdictions", s.fatf.select("iso2_code", "country_name"), x.transactions.select(F.explode(named))),
         used(
             "str_indicators_ref",
-            s.indicators.select("indicator_code"),
+            s.indicators.select("indicator_code", "description"),
             x.candidates.select(F.explode("str_indicators")),
         ),
     ]
@@ -191,6 +194,25 @@ def _partition_by_year(x):
     return raw.read_transactions_between(x.spark, path, date(1996, 6, 1), date(1998, 3, 31))
 
 
+@query(
+    "partition_late_batch",
+    "txn_id txn_date_ph:d txn_year:i amount_php:n rewritten",
+    """
+select txn_id, txn_date_ph, year(txn_date_ph) as txn_year, if(year(txn_date_ph) = 1997 and txn_type = 'CASH', 2, 1) * amount_php
+  as amount_php, year(txn_date_ph) = 1997 as rewritten from txn_history
+""",
+)
+def _partition_late_batch(x):
+    """Corrections of one year arrive late: that year is rewritten, all others keep their files."""
+    path = run_folder(x.spark, "by-year")
+    files = lambda t: t.withColumn("_file", F.input_file_name())
+    before = files(sinks.write_by_year(x.history, path)).select("_file").distinct()
+    doubled = (F.col("amount_php") * 2).cast(x.history.schema["amount_php"].dataType)
+    late = x.history.where("year(txn_date_ph) = 1997 and txn_type = 'CASH'").withColumn("amount_php", doubled)
+    after = files(sinks.merge_late(late, path, ["txn_id", "txn_date_ph"]))
+    return after.join(before.withColumn("_old", F.lit(True)), "_file", "left").withColumn("rewritten", F.col("_old").isNull())
+
+
 # Reports and monitors -------------------------------------------------------------
 CTR_SQL = """
 select ctr_id, customer_id, branch_code as branch, cast(txn_date_ph as varchar) as txn_date, amount_php as amount, ctr_type,

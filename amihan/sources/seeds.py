@@ -10,18 +10,19 @@ import csv
 import io
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from amihan.schemas import SEEDS
 
 
 # ---------------------------------------------------------------------------
-# The seed lists as CSV text (empty = NULL; columns left out
-# are NULL).
+# The seed lists as CSV text (empty = NULL).
 # ---------------------------------------------------------------------------
 
 PH_BRANCHES = """\
@@ -78,77 +79,77 @@ ZA,South Africa,GREYLIST,2018-06-22,
 """
 
 AML_RISK_WEIGHTS = """\
-risk_category,risk_subcategory,weight_value
-GEOGRAPHY,FATF_BLACKLIST,90
-GEOGRAPHY,FATF_GREYLIST,60
-GEOGRAPHY,OFFSHORE_FINANCIAL_CENTER,75
-GEOGRAPHY,HIGH_RISK_REGION,45
-GEOGRAPHY,MEDIUM_RISK_REGION,25
-GEOGRAPHY,LOW_RISK_REGION,10
-GEOGRAPHY,NON_COOPERATIVE_JURISDICTION,65
-PRODUCT,CASH,45
-PRODUCT,WIRE_TRANSFER,35
-PRODUCT,REMITTANCE,38
-PRODUCT,DEPOSIT,15
-PRODUCT,INVESTMENT,22
-PRODUCT,PREPAID_CARDS,30
-PRODUCT,LOAN,28
-PRODUCT,TRADE_FINANCE,40
-PRODUCT,CRYPTOCURRENCY,55
-PRODUCT,REAL_ESTATE,45
-PRODUCT,INSURANCE_PREMIUM,32
-PRODUCT,BANK_GUARANTEE,30
-PRODUCT,FOREX_EXCHANGE,27
-CHANNEL,BRANCH,12
-CHANNEL,ATM,10
-CHANNEL,ONLINE,18
-CHANNEL,MOBILE,15
-CHANNEL,CALL_CENTER,20
-CHANNEL,CASH_AGENT,35
-CHANNEL,CORRESPONDENT_BANKING,50
-CHANNEL,THIRD_PARTY_PAYMENT,42
-CHANNEL,AGENT_BANKING,38
-CUSTOMER_TYPE,CORPORATE,30
-CUSTOMER_TYPE,INDIVIDUAL,25
-CUSTOMER_TYPE,SOLEPROPRIETOR,38
-CUSTOMER_TYPE,NGO,18
-CUSTOMER_TYPE,GOVERNMENT,10
-CUSTOMER_TYPE,NON_RESIDENT,45
-CUSTOMER_TYPE,FOREIGN_ENTITY,50
-CUSTOMER_TYPE,SHELL_COMPANY,65
-CUSTOMER_TYPE,TRUST,55
-CUSTOMER_TYPE,PARTNERSHIP,28
-CUSTOMER_BEHAVIOR,SUDDEN_INCREASE,48
-CUSTOMER_BEHAVIOR,STRUCTURING,52
-CUSTOMER_BEHAVIOR,UNUSUAL_LOCATION,40
-CUSTOMER_BEHAVIOR,RAPID_MOVEMENTS,45
-CUSTOMER_BEHAVIOR,INCONSISTENT_KYC,50
-CUSTOMER_BEHAVIOR,MULTIPLE_ACCOUNTS,35
-CUSTOMER_BEHAVIOR,HIGH_VALUE_TRANSFER,55
-TRANSACTION_AMOUNT,BELOW_THRESHOLD,10
-TRANSACTION_AMOUNT,NEAR_THRESHOLD,30
-TRANSACTION_AMOUNT,ABOVE_THRESHOLD,50
-TRANSACTION_AMOUNT,VERY_HIGH_AMOUNT,70
-ONBOARDING_RISK,HIGH_RISK_BUSINESS,48
-ONBOARDING_RISK,LOW_RISK_BUSINESS,8
-ONBOARDING_RISK,UNKNOWN_SOURCE_OF_FUNDS,60
-ONBOARDING_RISK,POOR_DOCUMENTATION,55
-ONBOARDING_RISK,UNVERIFIED_ADDRESS,45
-ONBOARDING_RISK,CASH_INTENSIVE_BUSINESS,50
-DOCUMENTATION,INCOMPLETE_KYC,50
-DOCUMENTATION,NO_SOURCE_OF_FUNDS,60
-DOCUMENTATION,EXPIRED_ID,35
-DOCUMENTATION,POORLY_RECORDED,30
-ACTIVITY_PATTERN,INACTIVE_ACCOUNT,20
-ACTIVITY_PATTERN,RAPID_REACTIVATION,42
-ACTIVITY_PATTERN,FREQUENT_CHANNEL_SWITCH,35
-ACTIVITY_PATTERN,CONSISTENT_SUSPICIOUS,58
-PEP,PEP_CUSTOMER,80
-PEP,PEP_RELATIVE,65
-PEP,PEP_ASSOCIATE,55
-PEP,PEP_FORMER,52
-PEP,PEP_DOMESTIC,70
-PEP,PEP_FOREIGN,75
+risk_category,risk_subcategory,weight_value,description
+GEOGRAPHY,FATF_BLACKLIST,90,Transactions to/from FATF blacklisted countries
+GEOGRAPHY,FATF_GREYLIST,60,Transactions to/from FATF greylisted countries
+GEOGRAPHY,OFFSHORE_FINANCIAL_CENTER,75,Transactions involving offshore financial centers
+GEOGRAPHY,HIGH_RISK_REGION,45,Transactions involving regions known for AML concerns
+GEOGRAPHY,MEDIUM_RISK_REGION,25,Transactions involving moderately rated jurisdictions
+GEOGRAPHY,LOW_RISK_REGION,10,Transactions with established compliance frameworks
+GEOGRAPHY,NON_COOPERATIVE_JURISDICTION,65,Transactions involving jurisdictions with limited AML oversight
+PRODUCT,CASH,45,Cash transactions - high AML risk
+PRODUCT,WIRE_TRANSFER,35,International wire transfers
+PRODUCT,REMITTANCE,38,Remittance products often abused for ML/TF
+PRODUCT,DEPOSIT,15,Regular deposit products
+PRODUCT,INVESTMENT,22,Investment products and securities
+PRODUCT,PREPAID_CARDS,30,Prepaid or stored-value instruments
+PRODUCT,LOAN,28,Loan disbursement or repayment transactions
+PRODUCT,TRADE_FINANCE,40,Trade finance and documentary credits
+PRODUCT,CRYPTOCURRENCY,55,Virtual asset transactions with higher anonymity
+PRODUCT,REAL_ESTATE,45,Real estate-related transactions
+PRODUCT,INSURANCE_PREMIUM,32,Insurance premium payments and surrender values
+PRODUCT,BANK_GUARANTEE,30,Bank guarantees and letters of credit
+PRODUCT,FOREX_EXCHANGE,27,Foreign currency exchange and remittance
+CHANNEL,BRANCH,12,In-branch transactions
+CHANNEL,ATM,10,ATM withdrawals and deposits
+CHANNEL,ONLINE,18,Online banking channels
+CHANNEL,MOBILE,15,Mobile banking channels
+CHANNEL,CALL_CENTER,20,Call center or telephone banking
+CHANNEL,CASH_AGENT,35,Cash agent or remittance partner networks
+CHANNEL,CORRESPONDENT_BANKING,50,Correspondent banking relationships
+CHANNEL,THIRD_PARTY_PAYMENT,42,Third-party payment processors and wallets
+CHANNEL,AGENT_BANKING,38,Agent banking and cash-in/cash-out services
+CUSTOMER_TYPE,CORPORATE,30,Corporate customers
+CUSTOMER_TYPE,INDIVIDUAL,25,Individual customers
+CUSTOMER_TYPE,SOLEPROPRIETOR,38,Sole proprietor businesses
+CUSTOMER_TYPE,NGO,18,Non-profit or NGO organizations
+CUSTOMER_TYPE,GOVERNMENT,10,Government agencies
+CUSTOMER_TYPE,NON_RESIDENT,45,Non-resident customers
+CUSTOMER_TYPE,FOREIGN_ENTITY,50,Foreign entity customers
+CUSTOMER_TYPE,SHELL_COMPANY,65,Shell companies with limited economic substance
+CUSTOMER_TYPE,TRUST,55,Trusts and fiduciary arrangements
+CUSTOMER_TYPE,PARTNERSHIP,28,Partnership business entities
+CUSTOMER_BEHAVIOR,SUDDEN_INCREASE,48,Sudden large increase in transaction activity
+CUSTOMER_BEHAVIOR,STRUCTURING,52,Structuring transactions just below thresholds
+CUSTOMER_BEHAVIOR,UNUSUAL_LOCATION,40,Transactions from unusual locations or jurisdictions
+CUSTOMER_BEHAVIOR,RAPID_MOVEMENTS,45,Rapid transfer of funds between multiple accounts
+CUSTOMER_BEHAVIOR,INCONSISTENT_KYC,50,Customer details inconsistent with KYC records
+CUSTOMER_BEHAVIOR,MULTIPLE_ACCOUNTS,35,Multiple accounts under same customer with overlapping activity
+CUSTOMER_BEHAVIOR,HIGH_VALUE_TRANSFER,55,Very large one-time or infrequent transfers
+TRANSACTION_AMOUNT,BELOW_THRESHOLD,10,Transactions below reporting thresholds
+TRANSACTION_AMOUNT,NEAR_THRESHOLD,30,Transactions just below monitoring/reporting thresholds
+TRANSACTION_AMOUNT,ABOVE_THRESHOLD,50,Transactions above high-value thresholds
+TRANSACTION_AMOUNT,VERY_HIGH_AMOUNT,70,Very large transactions requiring enhanced review
+ONBOARDING_RISK,HIGH_RISK_BUSINESS,48,High-risk business line or industry
+ONBOARDING_RISK,LOW_RISK_BUSINESS,8,Low-risk business type
+ONBOARDING_RISK,UNKNOWN_SOURCE_OF_FUNDS,60,Customer cannot verify source of funds
+ONBOARDING_RISK,POOR_DOCUMENTATION,55,Incomplete or poor quality onboarding documentation
+ONBOARDING_RISK,UNVERIFIED_ADDRESS,45,Address cannot be verified or is suspicious
+ONBOARDING_RISK,CASH_INTENSIVE_BUSINESS,50,Cash-intensive customers or industries
+DOCUMENTATION,INCOMPLETE_KYC,50,KYC documentation is incomplete or insufficient
+DOCUMENTATION,NO_SOURCE_OF_FUNDS,60,No verifiable source of funds provided
+DOCUMENTATION,EXPIRED_ID,35,Customer identification documents are expired
+DOCUMENTATION,POORLY_RECORDED,30,Documentation contains errors or inconsistencies
+ACTIVITY_PATTERN,INACTIVE_ACCOUNT,20,Long-dormant account reactivated with activity
+ACTIVITY_PATTERN,RAPID_REACTIVATION,42,Account opened and immediately used for high-risk transactions
+ACTIVITY_PATTERN,FREQUENT_CHANNEL_SWITCH,35,Frequent switching between channels without clear reason
+ACTIVITY_PATTERN,CONSISTENT_SUSPICIOUS,58,Repeated suspicious behavior across transactions
+PEP,PEP_CUSTOMER,80,Politically exposed person flag
+PEP,PEP_RELATIVE,65,Close relatives of PEP
+PEP,PEP_ASSOCIATE,55,Known associates of PEP
+PEP,PEP_FORMER,52,Former politically exposed persons
+PEP,PEP_DOMESTIC,70,Domestic politically exposed persons
+PEP,PEP_FOREIGN,75,Foreign politically exposed persons
 """
 
 PH_NON_WORKING_DAYS = """\
@@ -193,38 +194,80 @@ calendar_date,holiday_name,holiday_type
 """
 
 STR_INDICATORS_REF = """\
-indicator_code,indicator_name,indicator_category,base_risk_score,bsp_circular_ref
-STRUCT_01,Cash structuring below PHP 500k,STRUCTURING,70,BSP Circ 706 Annex A
-LAYER_01,Rapid in-out fund movement,LAYERING,65,BSP Circ 706 Annex A
-DORMANCY_01,Dormant account sudden large credit,DORMANCY,60,BSP Circ 706 Annex A
-JURIS_01,Transaction to/from FATF blacklisted jurisdiction,JURISDICTION,90,BSP Circ 706 Part IV
-JURIS_02,Transaction to/from FATF greylisted jurisdiction,JURISDICTION,50,BSP Circ 706 Part IV
-ROUND_01,Round number transaction (possible smurfing),ROUND_NUMBER,30,BSP Circ 706 Annex A
-PEP_01,PEP-linked transaction above PHP 50000,PEP,75,BSP Circ 706 Part III
-PATTERN_01,Multiple depositors to single beneficiary (smurfing),PATTERN,80,BSP Circ 706 Annex A
-UNUSUAL_01,Unusual cash deposit vs customer profile,PATTERN,55,BSP Circ 706 Annex A
+indicator_code,indicator_name,indicator_category,description,base_risk_score,bsp_circular_ref
+STRUCT_01,Cash structuring below PHP 500k,STRUCTURING,Multiple sub-threshold cash transactions in 7-day window summing >= PHP 450k,70,BSP Circ 706 Annex A
+LAYER_01,Rapid in-out fund movement,LAYERING,Funds credited then debited within 48 hours net position < 10% of gross,65,BSP Circ 706 Annex A
+DORMANCY_01,Dormant account sudden large credit,DORMANCY,Account inactive for 90+ days receives credit >= PHP 100000 in single transaction,60,BSP Circ 706 Annex A
+JURIS_01,Transaction to/from FATF blacklisted jurisdiction,JURISDICTION,SWIFT/remittance to or from FATF blacklisted country - automatic high-risk flag,90,BSP Circ 706 Part IV
+JURIS_02,Transaction to/from FATF greylisted jurisdiction,JURISDICTION,SWIFT/remittance to or from FATF greylisted country - enhanced monitoring required,50,BSP Circ 706 Part IV
+ROUND_01,Round number transaction (possible smurfing),ROUND_NUMBER,Transaction amount is exact round number (500k 1M 5M) with no apparent business reason,30,BSP Circ 706 Annex A
+PEP_01,PEP-linked transaction above PHP 50000,PEP,Transaction involving politically exposed person or close associate exceeds PHP 50000,75,BSP Circ 706 Part III
+PATTERN_01,Multiple depositors to single beneficiary (smurfing),PATTERN,Three or more different depositors sending to same beneficiary account within 3 banking days,80,BSP Circ 706 Annex A
+UNUSUAL_01,Unusual cash deposit vs customer profile,PATTERN,Large cash deposit inconsistent with customer's historical transaction patterns,55,BSP Circ 706 Annex A
 """
 
 
-_TEXTS = {
+TEXTS = {
     "ph_branches": PH_BRANCHES,
     "fatf_jurisdictions": FATF_JURISDICTIONS,
     "aml_risk_weights": AML_RISK_WEIGHTS,
     "ph_non_working_days": PH_NON_WORKING_DAYS,
     "str_indicators_ref": STR_INDICATORS_REF,
 }
+#: Holds the text of a line that does not fit the declared columns.
+BAD_LINE = "_corrupt_record"
+
+
+def write_seed_files(spark: SparkSession, root: str) -> None:
+    """The default lists as CSV files below a shared folder, to be edited there."""
+    for name, text in TEXTS.items():
+        lines = spark.createDataFrame([(text.rstrip("\n"),)], "value string")
+        # One value that holds all lines of a list kept by hand: one file, in order.
+        lines.write.mode("overwrite").text(f"{root.rstrip('/')}/{name}.csv")
+
+
+def scan_seed_file(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """The lines of a seed file by its declared types, in ``_corrupt_record`` those that don't fit them.
+
+    A missing trailing column is a bad line too.
+    """
+    schema = T.StructType([*SEEDS[name].fields, T.StructField(BAD_LINE, T.StringType())])
+    options = {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+    return spark.read.schema(schema).options(**options).csv(f"{root.rstrip('/')}/{name}.csv")
+
+
+def _fits(name: str, good: bool) -> Column:
+    """Whether a scanned line fits; the second half is then always true.
+
+    It names every column, and so has every value parsed: a line's bad date
+    counts even where only its name is read.
+    """
+    line = F.col(BAD_LINE)
+    values = F.concat_ws(",", *[F.col(c).cast("string") for c in SEEDS[name].fieldNames()])
+    if good:
+        return line.isNull() & (F.coalesce(line, values) == values)
+    return line.isNotNull() & (F.length(values) >= 0)
+
+
+def bad_seed_lines(spark: SparkSession, root: str) -> DataFrame:
+    """(seed, line) of every line of the seed files that does not fit its declared columns."""
+    parts = [
+        scan_seed_file(spark, name, root).where(_fits(name, good=False)).select(F.lit(name).alias("seed"), F.col(BAD_LINE).alias("line"))
+        for name in SEEDS
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_seed(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
-    """One seed table with its declared types.
+    """One seed table with its declared types; lines of a file that don't fit them are left out.
 
     The default lists become a local relation, whose size Catalyst knows, so
     joins with them are broadcast by its own size check.
     """
     schema = SEEDS[name]
     if root is not None:
-        return spark.read.schema(schema).option("header", True).csv(f"{root.rstrip('/')}/{name}.csv")
-    rows = list(csv.DictReader(io.StringIO(_TEXTS[name])))
+        return scan_seed_file(spark, name, root).where(_fits(name, good=True)).drop(BAD_LINE)
+    rows = list(csv.DictReader(io.StringIO(TEXTS[name])))
     texts = pa.table({f.name: pa.array([r.get(f.name) or None for r in rows], pa.string()) for f in schema})
     return spark.createDataFrame(texts.cast(to_arrow_schema(schema)))
 
