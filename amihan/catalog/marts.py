@@ -8,6 +8,7 @@ from amihan.catalog.check_sql import AS_OF
 from amihan.catalog.registry import query
 from amihan.functions.calendar import as_of, working_day_deadline, working_days_add
 from amihan.functions.masking import mask_columns
+from amihan.functions.ordinals import span, with_working_day, working_day_calendar
 from amihan.functions.scoring import filing_urgency, tier_label
 from amihan.plans import dimensions
 
@@ -53,12 +54,36 @@ DIM_CUSTOMER = (
 query("dim_customers", DIM_CUSTOMER, "select * from dim_cust")(lambda x: x.dim_customers)
 
 
-def _masked_view(x):
-    return dimensions.vw_dim_customers_masked(x.dim_customers, x.params.masked_role, x.params)
+def _unmasked_dimension(x):
+    """The dimension with names and numbers as they were before it masked them."""
+    plain = x.customers.select("customer_id", "customer_name", "sss_number", "tin_number")
+    return x.dim_customers.drop("customer_name", "sss_number", "tin_number").join(plain, "customer_id")
+
+
+query("vw_dim_customers_masked", DIM_CUSTOMER, "select * from dim_cust")(
+    lambda x: dimensions.vw_dim_customers_masked(_unmasked_dimension(x), x.params.masked_role, x.params)
+)
+
+
+@query(
+    "view_masked",
+    "viewer customer_id customer_name sss_number tin_number overall_risk_tier is_current",
+    """
+select 'metabase_amlc_user' as viewer, customer_id, customer_name, sss_number, tin_number, overall_risk_tier, is_current from dim_cust
+union all select 'analyst', c.customer_id, c.customer_name, c.sss_number, c.tin_number, d.overall_risk_tier, d.is_current
+from cust c join dim_cust d on d.customer_id = c.customer_id
+""",
+)
+def _view_masked(x):
+    """One view, read by two roles."""
+    dimensions.create_masked_view(_unmasked_dimension(x), x.params, "vw_dim_customers_masked")
+    seen = []
+    for role in (x.params.masked_role, "analyst"):
+        dimensions.set_viewer_role(x.spark, role)
+        seen.append(x.spark.table("vw_dim_customers_masked").withColumn("viewer", F.lit(role)))
+    return seen[0].unionByName(seen[1])
 
 
-query("vw_dim_customers_masked", DIM_CUSTOMER, "select * from dim_cust")(_masked_view)
-query("view_masked", DIM_CUSTOMER, "select * from dim_cust")(_masked_view)
 query(
     "fn_role",
     "viewer customer_id customer_name sss_number tin_number",
@@ -177,6 +202,22 @@ def _working_days_add(x):
     )
 
 
+@query(
+    "working_days_lookup",
+    "txn_id txn_date_ph:d due_one:d due_five:d add_one:d add_five:d",
+    "select t.txn_id, t.txn_date_ph, due1 as due_one, due5 as due_five, add1 as add_one, add5 as add_five "
+    "from (from txn union all by name from txn_history) t join deadlines on d = t.txn_date_ph",
+)
+def _working_days_lookup(x):
+    """Deadlines by the number of the working day: lookups in a calendar, no sequence per row."""
+    rows = x.transactions.select("txn_id", "txn_date_ph").unionByName(x.history.select("txn_id", "txn_date_ph"))
+    first, last = span(rows, "txn_date_ph", 5, 3)
+    calendar = working_day_calendar(x.spark, first, last, x.seeds.non_working_days)
+    for name, n, buffer in (("due_one", 1, 3), ("due_five", 5, 3), ("add_one", 1, 2), ("add_five", 5, 2)):
+        rows = with_working_day(rows, "txn_date_ph", name, n, calendar, buffer)
+    return rows
+
+
 @query(
     "filing_urgency",
     "txn_id str_filing_deadline:d days_to_deadline:i filing_urgency",

@@ -15,6 +15,7 @@ from amihan.functions.calendar import as_of, is_working_day, working_day_deadlin
 from amihan.functions.scoring import account_status_points, geography_points
 from amihan.operators import customer_day as cd
 from amihan.operators import kyc, risk, signals
+from amihan.operators.listed import containing
 from amihan.operators.skew import join_groups
 from amihan.operators.structuring import cash_debit_days
 from amihan.plans import facts
@@ -162,6 +163,21 @@ def _join_theta_like_or(x):
     return x.transactions.select("txn_id", F.explode_outer(matches).alias("_m")).select("txn_id", "_m.*")
 
 
+@query(
+    "join_list_by_grams",
+    "txn_id iso2_code fatf_list_type",
+    """
+select txn_id, iso2_code, fatf_list_type from txn join seed_fatf
+  on upper(counterparty_bank) like '%' || iso2_code || '%' or upper(purpose_description) like '%' || country_name || '%'
+""",
+)
+def _join_list_by_grams(x):
+    """The matches of the theta join, as the equality join that lists of any length take."""
+    texts = {"bank": F.upper("counterparty_bank"), "purpose": F.upper("purpose_description")}
+    entries = x.seeds.fatf.select("iso2_code", "country_name", "fatf_list_type")
+    return containing(x.transactions, ["txn_id"], texts, entries, {"bank": "iso2_code", "purpose": "country_name"})
+
+
 query(
     "join_constant_lookup",
     "customer_id weight:n",

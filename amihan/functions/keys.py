@@ -20,13 +20,16 @@ def surrogate_key(*columns: str | Column) -> Column:
 def with_dense_key(df: DataFrame, order_by: str, name: str) -> DataFrame:
     """Number the rows 1..n in ``order_by`` order without a one-task window.
 
-    A global sort leaves ordered ranges in the partitions.  Each row takes
-    its place within its partition plus the rows of all earlier partitions.
-    The sorted rows are checkpointed, so that both readings below see one
-    and the same partitioning even when executors are lost in between.
+    Only the key column is sorted: a global sort leaves ordered ranges in the
+    partitions, and a key takes its place within its partition plus the keys
+    of all earlier ones.  The sorted keys are checkpointed, so that both
+    readings below see one and the same partitioning even when executors are
+    lost in between; whole rows join their number by the key when they are
+    read.  Keys are unique and not null.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    placed = df.orderBy(order_by).withColumn("_place", F.monotonically_increasing_id()).checkpoint()
+    keys = df.select(F.col(order_by).alias("_key"))
+    placed = keys.orderBy("_key").withColumn("_place", F.monotonically_increasing_id()).checkpoint()
     placed = placed.withColumn("_part", F.shiftright("_place", 33)).withColumn(
         "_place", F.col("_place").bitwiseAND((1 << 33) - 1)
     )
@@ -37,7 +40,7 @@ def with_dense_key(df: DataFrame, order_by: str, name: str) -> DataFrame:
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
     # One row per sort partition: the broadcast is bounded by their number.
-    return placed.join(F.broadcast(offsets), "_part").select(
-        (F.col("_offset") + F.col("_place") + 1).cast("long").alias(name),
-        *[c for c in df.columns],
+    numbered = placed.join(F.broadcast(offsets), "_part").select(
+        "_key", (F.col("_offset") + F.col("_place") + 1).cast("long").alias("_number")
     )
+    return df.join(numbered, F.col(order_by) == F.col("_key")).select(F.col("_number").alias(name), *[df[c] for c in df.columns])

@@ -10,7 +10,7 @@ from amihan.operators.ctr import int_ctr_candidates
 from amihan.operators.customer_day import KEYS, customer_day
 from amihan.operators.kyc import int_kyc_health
 from amihan.operators.layering import int_layering_detection
-from amihan.operators.quality import dq_report
+from amihan.operators.quality import dq_report, landing_report
 from amihan.operators.risk import int_customer_risk_rating
 from amihan.operators.skew import hot_groups
 from amihan.operators.structuring import int_structuring_detection
@@ -33,7 +33,8 @@ def run_daily(
 
     Each table is written once and read back, so later tables start from
     files and a lost executor costs one stage, not the whole run.  All tables
-    are rebuilt but the STR candidates, which are only added to.
+    are rebuilt but the STR candidates, which are only added to.  The masked
+    customer view is left in the session.
     """
     seeds = load_seeds(spark, seed_root)
     raw = {name: read_raw(spark, raw_root, name) for name in RAW}
@@ -73,7 +74,8 @@ def run_daily(
     # Gold.  Facts are sorted within files by the date that reports filter on.
     branches = put("gold", "dim_branches", dimensions.dim_branches(seeds.branches, params))
     calendar = put("gold", "dim_date", dimensions.dim_date(spark, params, seeds.holidays))
-    put("gold", "dim_customers", dimensions.dim_customers(customers, risk, params))
+    people = put("gold", "dim_customers", dimensions.dim_customers(customers, risk, params))
+    dimensions.create_masked_view(people, params)
     covered = put(
         "gold",
         "fct_covered_transactions",
@@ -106,6 +108,6 @@ def run_daily(
                 "stg_kyc_documents": documents,
                 "stg_watchlist": screening,
             }
-        ),
+        ).unionByName(landing_report(raw)),
     )
     return out

@@ -113,3 +113,31 @@ def vw_dim_customers_masked(dimension: DataFrame, role: str, params: AmlParams)
             "tin_number": mask_tail(F.col("tin_number")),
         }
     )
+
+
+#: The session variable that names who reads a masked view.
+ROLE_VARIABLE = "viewer_role"
+
+
+def set_viewer_role(spark: SparkSession, role: str) -> None:
+    """Whoever reads a masked view of this session from now on is this role."""
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {ROLE_VARIABLE} STRING DEFAULT current_user()")
+    spark.sql(f"SET VAR {ROLE_VARIABLE} = :role", args={"role": role})
+
+
+def create_masked_view(dimension: DataFrame, params: AmlParams, name: str = "vw_dim_customers_masked") -> None:
+    """A temporary view of the dimension that asks for the reader's role when it is queried.
+
+    Until :func:`set_viewer_role` is called the reader is the session's user.
+    """
+    spark = dimension.sparkSession
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {ROLE_VARIABLE} STRING DEFAULT current_user()")
+    dimension.createOrReplaceTempView(f"{name}_base")
+    restricted = f"session.{ROLE_VARIABLE} = '{params.masked_role}'"
+    masks = {
+        "customer_name": "concat(substring(customer_name, 1, 1), '***', substring(customer_name, length(customer_name), 1))",
+        "sss_number": "concat('***', right(sss_number, 4))",
+        "tin_number": "concat('***', right(tin_number, 4))",
+    }
+    shown = [f"CASE WHEN {restricted} THEN {masks[c]} ELSE {c} END AS {c}" if c in masks else f"`{c}`" for c in dimension.columns]
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {', '.join(shown)} FROM {name}_base")

@@ -252,8 +252,8 @@ def test_daily_run_builds_all_tables_and_reruns(spark, tmp_path):
     assert {name: df.count() for name, df in tables.items()} == {
         "stg_transactions": 1500,
         "stg_customers": 150,
-        "stg_kyc_documents": 385,
-        "stg_watchlist": 38,
+        "stg_kyc_documents": 588,
+        "stg_watchlist": 149,
         "customer_day": tables["customer_day"].count(),
         "int_ctr_candidates": 382,
         "int_structuring_detection": 121,
@@ -268,7 +268,13 @@ def test_daily_run_builds_all_tables_and_reruns(spark, tmp_path):
         "fct_suspicious_transactions": 576,
         "fct_customer_compliance": 150,
         "fct_branch_compliance_summary": 36,
-        "dq_report": 28,
+        "dq_report": 40,
+    }
+    report = {(r.table_name, r.column_name, r.test_name): r.failures for r in tables["dq_report"].collect()}
+    assert report["raw_watchlist_screening", "customer_id", "foreign_key"] == 1
+    assert report["raw_transactions", "txn_type", "accepted_values"] == 1
+    assert {r.customer_name for r in spark.table("vw_dim_customers_masked").collect()} == {
+        r.customer_name for r in tables["dim_customers"].collect()
     }
     from amihan.catalog.lake import Lake
 
