@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from amihan.llm.arrays import running_ends, with_cutter
+
 OPEN, HEAD_END, TURN_MARK, CLOSE = "<s>[", "]", "[TURN]", "</s>\n"
 #: Characters that control strings are made of, and what stands for them in texts.
 ENTITIES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&#91;"), ("]", "&#93;"))
@@ -37,23 +39,6 @@ def unescaped(text: Column) -> Column:
     return text
 
 
-def _running_ends(lengths: Column, group: int = 256) -> Column:
-    """Sums up to and with each element; work grows as the number of elements times the group size."""
-    n = F.size(lengths)
-    add = lambda a, x: a + x
-    zero = F.lit(0).cast("long")
-    per_group = F.transform(
-        F.sequence(F.lit(0), F.floor(F.greatest(n - 1, F.lit(0)) / group).cast("int")),
-        lambda g: F.aggregate(F.slice(lengths, g * group + 1, F.lit(group)), zero, add),
-    )
-    before = F.transform(per_group, lambda _, g: F.aggregate(F.slice(per_group, F.lit(1), g), zero, add))
-    return F.transform(
-        lengths,
-        lambda _, i: F.element_at(before, F.floor(i / group).cast("int") + 1)
-        + F.aggregate(F.slice(lengths, i - F.pmod(i, F.lit(group)) + 1, F.pmod(i, F.lit(group)) + 1), zero, add),
-    )
-
-
 def format_chats(
     turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
 ) -> DataFrame:
@@ -105,7 +90,7 @@ def format_chats(
         )
     )
     chats = chats.select("conv_id", F.array_join(written, "").alias("formatted"), pieces.alias("pieces"))
-    chats = chats.withColumn("ends", _running_ends(F.transform("pieces", lambda p: p["before"] + p["own"] + p["after"])))
+    chats = chats.withColumn("ends", running_ends(F.transform("pieces", lambda p: p["before"] + p["own"] + p["after"])))
     spans = F.zip_with(
         "pieces",
         "ends",
@@ -135,9 +120,5 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(
-        F.transform(
-            spans, lambda s: unescaped(F.substring(formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
-        ),
-        "",
-    )
+    learned = lambda cut: F.transform(spans, lambda s: unescaped(cut(s["start"], s["end"] - s["start"])))
+    return with_cutter(formatted, lambda cut: F.array_join(learned(cut), ""))

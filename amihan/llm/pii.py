@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amihan.llm.chat import _running_ends
+from amihan.llm.arrays import last_not_above, let, running_ends, running_most, with_cutter
 
 #: How far from a span, in code points, a context word counts.
 CONTEXT_CHARS = 40
@@ -64,9 +64,10 @@ _IBAN = "|".join(
 )
 
 # Starting a run of its own characters only (or where the last match ended) finds the same
-# leftmost matches, without trying each place of a long run.
+# leftmost matches, without trying each place of a long run.  The labels of a mail address cannot
+# lend each other characters, so they are taken for good: a repeated group that can go back recurses.
 BASE = (
-    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "@", 0.8, "mail|contact|write|reach"),
+    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.8, "mail|contact|write|reach"),
     Kind("ip", r"(?:(?<![0-9])|\G)[0-9]+(?:\.[0-9]+){3}", r"[0-9]\.[0-9]", 0.6, r"\bip\b|host|server|address|login", test="ip"),
     # A whole run of digits with single separators, 13 to 19 of them.
     Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])", "[0-9]{3}", 0.5, "card|visa|master|credit|debit|payment", test="luhn"),
@@ -121,15 +122,14 @@ def passes(test: str, text: Column) -> Column:
 def _proposed(text: Column, kind: Kind) -> Column:
     """array<struct<text, before, after>>: matches with the pieces around them."""
     none = F.array().cast("array<struct<text:string,before:string,after:string>>")
-    pieces = F.split(text, kind.pattern, -1)
-    found = F.zip_with(
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.head else 0)),
-        pieces,
-        lambda m, p: F.struct(m.alias("text"), p.alias("before")),
+    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.head else 0))
+    found = let(
+        F.split(text, kind.pattern, -1),
+        lambda pieces: F.transform(
+            matches, lambda m, i: F.struct(m.alias("text"), F.get(pieces, i).alias("before"), F.get(pieces, i + 1).alias("after"))
+        ),
     )
-    # zip_with goes to the end of the longer array; the last piece comes without a match.
-    whole = F.transform(found, lambda x, i: F.struct(x["text"].alias("text"), x["before"].alias("before"), F.get(found, i + 1)["before"].alias("after")))
-    return F.when(text.rlike(kind.needs) & text.rlike(kind.pattern), F.filter(whole, lambda x: x["text"].isNotNull())).otherwise(none)
+    return F.when(text.rlike(kind.needs) & text.rlike(kind.pattern), found).otherwise(none)
 
 
 def find_spans(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
@@ -146,7 +146,7 @@ def find_spans(docs: DataFrame, text_col: str = "text", spans_col: str = "spans"
     ends = {}
     for k in kinds:
         lengths = F.transform(f"__pii_{k.name}", lambda x: (F.length(x["before"]) + taken(k, x)).cast("long"))
-        ends[f"__pii_{k.name}_end"] = F.when(F.size(f"__pii_{k.name}") > 0, _running_ends(lengths)).otherwise(F.array().cast("array<bigint>"))
+        ends[f"__pii_{k.name}_end"] = F.when(F.size(f"__pii_{k.name}") > 0, running_ends(lengths)).otherwise(F.array().cast("array<bigint>"))
     placed = proposed.withColumns(ends)
 
     def spans(k: Kind) -> Column:
@@ -168,11 +168,12 @@ def find_spans(docs: DataFrame, text_col: str = "text", spans_col: str = "spans"
 
     each = {f"__pii_{k.name}_span": spans(k) for k in kinds}
     found = placed.withColumns(each)
-    inside_card = lambda s: F.exists("__pii_card_span", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
-    parts = [
-        F.filter(f"__pii_{k.name}_span", lambda s: ~inside_card(s)) if k.name == "card_part" else F.col(f"__pii_{k.name}_span")
-        for k in kinds
-    ]
+    # Whole card numbers do not overlap: only the last that starts before a part can hold it.
+    starts = F.transform("__pii_card_span", lambda b: b["start"])
+    holder = lambda bound, s: F.get(F.col("__pii_card_span"), last_not_above(bound, s["start"]))
+    outside = lambda bound, s: F.coalesce(holder(bound, s)["end"] < s["end"], F.lit(True))
+    card_parts = let(starts, lambda bound: F.filter("__pii_card_part_span", lambda s: outside(bound, s)))
+    parts = [card_parts if k.name == "card_part" else F.col(f"__pii_{k.name}_span") for k in kinds]
     return found.withColumn(spans_col, F.concat(*parts)).drop(*(f"__pii_{k.name}{x}" for k in kinds for x in ("", "_end", "_span")))
 
 
@@ -188,20 +189,20 @@ def redact(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") ->
     """
     # Sorted by start, a span that begins before some earlier one has ended adds nothing of its own but its end.
     order = F.array_sort(F.transform(spans_col, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("far"), s["kind"].alias("kind"))))
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
     text = F.col(text_col)
-    cut = F.aggregate(
+    nothing = F.lit(0).cast("long")
+
+    def written(spans: Column, ends: Column, cut) -> Column:
+        until = lambda i: F.when(i > 0, F.get(ends, i - 1)).otherwise(nothing)
+        named = lambda s, i: F.concat(cut(until(i), s["start"] - until(i)), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
+        body = F.transform(spans, lambda s, i: F.when(s["start"] >= until(i), named(s, i)).otherwise(""))
+        last = F.get(ends, F.size(ends) - 1)
+        return F.concat(F.array_join(body, ""), cut(last, F.length(text) - last))
+
+    bound = let(
         order,
-        empty,
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], -s["far"]).alias("at"),
-            F.when(
-                s["start"] >= acc["at"],
-                F.concat(acc["out"], F.array(F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
+        lambda spans: let(
+            running_most(F.transform(spans, lambda s: -s["far"])), lambda ends: with_cutter(text, lambda cut: written(spans, ends, cut))
         ),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))),
     )
-    return docs.withColumn(text_col, F.when(F.size(spans_col) > 0, cut).otherwise(text))
+    return docs.withColumn(text_col, F.when(F.size(spans_col) > 0, bound).otherwise(text))
