@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,7 @@ LONGEST = 4
 BYTE_BASE, CHECK_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 WORD_BASE, CHECK_WORD = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 #: Bytes of text that are hashed at once, and n-grams that are sorted at once.
-SLICE, STEP = 2 << 20, 1 << 19
+SLICE, STEP = 1_000_000, 1 << 19
 #: The bitmap of frequent fingerprints has 2 ** 26 bits, 8 MB, whatever the corpus.
 BITMAP_BITS = 26
 
@@ -53,11 +52,17 @@ _SCHEMA = pa.schema(
 PHRASES = "lang string, phrase string, words int, occurrences long"
 
 
-@lru_cache(maxsize=4)
-def _powers(room: int, base: int) -> np.ndarray:
-    out = np.full(room, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+#: The longest row of powers of each base so far: that of a segment.
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(n: int, base: int) -> np.ndarray:
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        held = np.full(1 << max(10, (n - 1).bit_length()), base, np.uint64)
+        held[0] = 1
+        _POWERS[base] = held = np.cumprod(held)
+    return held
 
 
 def _segment(part: bytes) -> tuple[np.ndarray, ...]:
@@ -69,12 +74,11 @@ def _segment(part: bytes) -> tuple[np.ndarray, ...]:
     edges = np.flatnonzero(word[1:] != word[:-1])
     begins, ends = edges[::2], edges[1::2]
     pieces = np.cumsum(kind == 2, dtype=np.int32)[begins] if n else np.empty(0, np.int32)
-    room = 1 << max(10, n.bit_length())
     sums, hashes = np.zeros(n + 1, np.uint64), []
     values = data.astype(np.uint64) + np.uint64(1)
     for base in (BYTE_BASE, CHECK_BASE):
-        np.cumsum(values * _powers(room, base)[:n], out=sums[1:])
-        hashes.append(mix((sums[ends] - sums[begins]) * _powers(room, pow(base, -1, 1 << 64))[begins]))
+        np.cumsum(values * _powers(n, base)[:n], out=sums[1:])
+        hashes.append(mix((sums[ends] - sums[begins]) * _powers(n, pow(base, -1, 1 << 64))[begins]))
     return *hashes, begins, ends, pieces
 
 
@@ -201,19 +205,24 @@ def phrases_at(mask: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     def read(lang: str, text: bytes, found: list[dict]) -> Iterator[tuple]:
         _, _, begins, ends, _ = tokens(text)
         seed = language_seed(lang)
+        named = []
         for one in found:
             at, size = one["place"] >> 3, one["place"] & 7
             if not size:
                 if one["fingerprint"] & (2**64 - 1) == seed:
                     yield lang, "", 0, one["occurrences"]
-                continue
-            if at + size > len(begins):
-                continue
-            phrase = b" ".join(text[b:e] for b, e in zip(begins[at : at + size], ends[at : at + size]))
-            words, checks, *_ = _segment(phrase)
-            own, mark = fingerprints(words, checks, np.full(size, seed, np.uint64), size, mask)
-            if len(own) == 1 and int(own.view(np.int64)[0]) == one["fingerprint"] and int(mark[0]) == one["check"]:
-                yield lang, phrase.decode(), size, one["occurrences"]
+            elif at + size <= len(begins):
+                named.append((size, b" ".join(text[b:e] for b, e in zip(begins[at : at + size], ends[at : at + size])), one))
+        # All phrases are hashed in one go, each by itself: a phrase a line, in the order of their sizes.
+        named.sort(key=lambda x: x[0])
+        words, checks, *_ = tokens(b"\n".join(p for _, p, _ in named))
+        seeds, firsts = np.full(len(words), seed, np.uint64), np.cumsum([0] + [size for size, _, _ in named])
+        for size in {s for s, _, _ in named}:
+            own, marks = fingerprints(words, checks, seeds, size, mask)
+            own = own.view(np.int64)
+            for (n, phrase, one), at in zip(named, firsts):
+                if n == size and int(own[at]) == one["fingerprint"] and int(marks[at]) == one["check"]:
+                    yield lang, phrase.decode(), size, one["occurrences"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
