@@ -39,11 +39,20 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 MASK64 = (1 << 64) - 1
 
 
-@lru_cache(maxsize=1)
-def _powers() -> np.ndarray:
-    base = np.full(SEGMENT, POWER, np.uint64)
-    base[0] = 1
-    return np.cumprod(base)
+@lru_cache(maxsize=2)
+def _powers(base: int = POWER) -> np.ndarray:
+    row = np.full(SEGMENT, base, np.uint64)
+    row[0] = 1
+    return np.cumprod(row)
+
+
+def _back(places: np.ndarray) -> np.ndarray:
+    """The inverse powers of places in a text."""
+    near = _powers(pow(POWER, -1, 1 << 64))[places % SEGMENT]
+    segments = places // SEGMENT
+    for s in np.unique(segments[segments > 0]).tolist():
+        near[segments == s] *= np.uint64(pow(POWER, -s * SEGMENT, 1 << 64))
+    return near
 
 
 @dataclass(frozen=True)
@@ -103,28 +112,35 @@ def fingerprint(text: bytes) -> Fingerprint:
     at_least = counts[::-1].cumsum()[::-1]
     bits = next(k for k in range(least, 34) if k == 33 or at_least[k] < MAX_CHUNKS)
 
-    ends: dict[int, list[int]] = {bits: [], bits + 1: []}
-    marks: dict[int, list[int]] = {bits: [], bits + 1: []}
+    ends: dict[int, list[np.ndarray]] = {bits: [], bits + 1: []}
+    marks: dict[int, list[np.ndarray]] = {bits: [], bits + 1: []}
     total = 0
     for begin, end in segments:
         h = hashes((begin, end))
-        sums = np.cumsum((data[begin:end].astype(np.uint64) + np.uint64(1)) * _powers()[: end - begin])
+        sums = data[begin:end].astype(np.uint64)
+        sums += np.uint64(1)
+        sums *= _powers()[: end - begin]
+        np.cumsum(sums, out=sums)
         scale = pow(POWER, begin, 1 << 64)
+        # Ends at the larger size are among those at the smaller one.
+        at = np.flatnonzero((h & np.uint32((1 << min(bits, 32)) - 1)) == np.uint32((1 << min(bits, 32)) - 1)) if bits < 33 else np.empty(0, np.int64)
         for k in ends:
-            low = np.uint32((1 << min(k, 32)) - 1)
-            at = np.flatnonzero((h & low) == low) if k < 33 else np.empty(0, np.int64)
-            ends[k] += (at + begin + 1).tolist()
-            marks[k] += [(total + scale * x) & MASK64 for x in sums[at].tolist()]
+            if k > bits:
+                low = np.uint32((1 << min(k, 32)) - 1)
+                at = at[(h[at] & low) == low] if k < 33 else at[:0]
+            ends[k].append(at + (begin + 1))
+            marks[k].append(sums[at] * np.uint64(scale) + np.uint64(total))
         total = (total + scale * int(sums[-1])) & MASK64
     chunks = []
     for k in ends:
-        if n and (not ends[k] or ends[k][-1] < n):
-            ends[k].append(n)
-            marks[k].append(total)
-        before = [0, *ends[k][:-1]]
-        own = [(b - a) * pow(POWER, -s, 1 << 64) & MASK64 for a, b, s in zip([0, *marks[k]], marks[k], before)]
-        mixed = np.array(own, np.uint64)
-        mixed = (mixed ^ (mixed >> np.uint64(31))) * MIX
+        own_ends, own_marks = np.concatenate([*ends[k], [n]]), np.concatenate([*marks[k], np.array([total], np.uint64)])
+        if not n or (len(own_ends) > 1 and own_ends[-2] == n):
+            own_ends, own_marks = own_ends[:-1], own_marks[:-1]
+        before = np.concatenate(([0], own_ends[:-1])).astype(np.int64)[: len(own_ends)]
+        own = own_marks.copy()
+        own[1:] -= own_marks[:-1]
+        own *= _back(before)
+        mixed = (own ^ (own >> np.uint64(31))) * MIX
         chunks.append((mixed >> np.uint64(52)).astype(np.uint16))
     return Fingerprint(bits, *chunks)
 
