@@ -41,11 +41,13 @@ from amihan.llm.run_index import RunIndex
 from amihan.llm.window_groups import Groups, window_groups
 from amihan.operators.skew import hot_groups, join_groups
 
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 20 << 20
 #: Bytes hashed at once; longer texts are cut into pieces that overlap by a window.
 SLICE_BYTES = 2 << 20
 #: Bytes of undecided groups in one index, about; an anchor with more is dealt by windows.
 INDEX_BYTES = 12 << 20
+#: Groups of a shard whose bytes are copied at once.
+COPIED = 32_768
 #: Groups that are streamed at once.
 STREAMED = 32_768
 #: Places of one group that a row lists; a group with more is sent in several rows.
@@ -184,6 +186,11 @@ def mark(length: int):
         [("kind", pa.int32()), ("uid", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("text", pa.binary()), ("begins", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("anchor", pa.int64()), ("content", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("more_uids", pa.list_(pa.int64())), ("more_starts", pa.list_(pa.int64()))]
     )
 
+    def table(n: int, kind: int, **columns) -> pa.Table:
+        columns["kind"] = np.full(n, kind, np.int32)
+        arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema]
+        return pa.Table.from_arrays(arrays, schema=schema)
+
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
@@ -214,32 +221,41 @@ def mark(length: int):
         heads = np.flatnonzero(place[waits[order]] % PLACES == 0)
         tails = np.append(heads[1:], len(held))
         begins_of = np.searchsorted(g.doc, np.arange(len(texts) + 1))
-        columns: dict[str, list] = {name: [] for name in schema.names}
-
-        def row(**values) -> None:
-            for name in schema.names:
-                columns[name].append(values.get(name))
-
+        out: list[dict] = []
         for i, text in enumerate(texts):
             part = slice(begins_of[i], begins_of[i + 1])
             c = covered[part]
             begins, ends = _merged(g.start[part][c], (g.start[part] + g.windows[part] + length - 1)[c])
-            uid = (shard << 32) + i
-            common = {"kind": 0, "uid": uid, "doc_id": ids[i], "n_bytes": len(text)}
+            one = {"uid": (shard << 32) + i, "doc_id": ids[i], "n_bytes": len(text)}
             if waits[part].any():
-                row(**common, text=bytes(text), begins=begins.tolist(), ends=ends.tolist())
+                one |= {"text": bytes(text), "begins": begins.tolist(), "ends": ends.tolist()}
             else:
-                removed, spans, digest = _cut(text, begins, ends)
-                row(**common, n_removed=removed, n_spans=spans, kept_sha256=digest)
-        for n in np.argsort(held[heads]):
-            j, more = held[heads[n]], held[heads[n] + 1 : tails[n]]
-            start, i = int(g.start[j]), int(g.doc[j])
-            others = {"more_uids": ((shard << 32) + g.doc[more]).tolist(), "more_starts": g.start[more].tolist()} if len(more) else {}
-            row(
-                kind=1, uid=(shard << 32) + i, text=bytes(texts[i][start : start + int(g.windows[j]) + length - 1]),
-                anchor=int(g.anchor[j]), content=int(g.content[j].view(np.int64)), key=int(keys[i]), start=start, **others,
-            )
-        return pa.Table.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+                one |= dict(zip(("n_removed", "n_spans", "kept_sha256"), _cut(text, begins, ends)))
+            out.append(one)
+        tables = [table(len(out), 0, **{n: [r.get(n) for r in out] for n in schema.names[1:10]})]
+        del out
+        inner = np.argsort(held[heads])
+        for at in range(0, len(inner), COPIED):
+            some = inner[at : at + COPIED]
+            first_of = held[heads[some]]
+            more = [held[x + 1 : y] for x, y in zip(heads[some].tolist(), tails[some].tolist())]
+            starts, stops = g.start[first_of], g.start[first_of] + g.windows[first_of] + length - 1
+            where = g.doc[first_of]
+            tables.append(
+                table(
+                    len(some),
+                    1,
+                    uid=(shard << 32) + where,
+                    text=[bytes(texts[i][x:y]) for i, x, y in zip(where.tolist(), starts.tolist(), stops.tolist())],
+                    anchor=g.anchor[first_of],
+                    content=g.content[first_of].view(np.int64),
+                    key=keys[where],
+                    start=starts,
+                    more_uids=[((shard << 32) + g.doc[m]).tolist() if len(m) else None for m in more],
+                    more_starts=[g.start[m].tolist() if len(m) else None for m in more],
+                )
+            )
+        return pa.concat_tables(tables)
 
     return run
 
