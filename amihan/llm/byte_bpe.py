@@ -12,7 +12,9 @@ entry under way started from agree on it, or at the end of the piece; entries
 have a bounded length, and so has the look-ahead.
 
 Texts are split by the vocabulary's pattern first; results of short pieces
-are kept in tables of bounded size, which change nothing but time.
+are kept in tables of bounded size, which change nothing but time.  A table
+has two generations: a full young one becomes the old one, and what is found
+in the old one moves up, so frequent entries are never lost.
 """
 
 from __future__ import annotations
@@ -20,17 +22,16 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amihan.llm.common import by_row, map_arrow
+from amihan.llm.common import by_row, map_arrow, worker_state
 
-#: Bounds of the tables of one worker; a full table is emptied and filled anew.
-MAX_PAIRS = 400_000
+#: Bounds of the young tables of one worker.
+MAX_PAIRS = 200_000
 MAX_PIECES = 250_000
 MAX_UNITS = 350_000
 MAX_HEADS = 150_000
@@ -86,6 +87,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
         self.token = {i: t for t, i in ranks.items()}
+        self.names = {i: str(i) for i in self.token}
         self.begun = {t[:n] for t in ranks for n in range(1, len(t) + 1)}
         self.pattern = regex.compile(pattern)
         self.parts: dict[bytes, tuple[bytes, bytes] | None] = {}
@@ -99,6 +101,10 @@ class Transducer:
         self.heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.units: dict[str, tuple[int, ...]] = {}
+        self.old_stable: dict[int, bool] = {}
+        self.old_heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}
+        self.old_pieces: dict[str, tuple[int, ...]] = {}
+        self.old_units: dict[str, tuple[int, ...]] = {}
         self.gap = regex.compile(r" (?!\S)")
         self.cut = regex.compile(r" (?=\S)")
 
@@ -186,14 +192,22 @@ class Transducer:
         if piece in self.ranks:
             return (self.ranks[piece],)
         if len(self.stable) >= MAX_PAIRS:
-            self.stable.clear()
+            self.old_stable, self.stable = self.stable, {}
+        if len(self.heads) >= MAX_HEADS:
+            self.old_heads, self.heads = self.heads, {}
         arrows, ending, stable = self.arrows, self.ending, self.stable
         state = 0
         #: The last token of each prefix since what was given out; -1 where it begins before that.
         last: list[int] = []
         out: list[int] = []
         for length in HEADS:
-            if (head := self.heads.get(piece[:length])) and len(piece) > length:
+            if len(piece) <= length:
+                continue
+            begin = piece[:length]
+            head = self.heads.get(begin)
+            if head is None and (head := self.old_heads.get(begin)):
+                self.heads[begin] = head
+            if head:
                 state, last = head[0], [*head[1]]
                 break
         known = len(last)
@@ -214,7 +228,8 @@ class Transducer:
                     pair = prior << 20 | token
                     holds = stable.get(pair)
                     if holds is None:
-                        holds = stable[pair] = self._pair_holds(prior, token)
+                        holds = self.old_stable.get(pair)
+                        stable[pair] = holds = self._pair_holds(prior, token) if holds is None else holds
                     if not holds:
                         continue
                 last.append(token)
@@ -222,8 +237,6 @@ class Transducer:
             else:
                 last.append(-1)
             if end + 1 in HEADS and not out:
-                if len(self.heads) >= MAX_HEADS:
-                    self.heads.clear()
                 self.heads[piece[: end + 1]] = (state, tuple(last))
             if end + 1 >= LOOK_AHEAD:
                 given = self._agreed(last, state)
@@ -235,21 +248,30 @@ class Transducer:
         return (*out, *self._path(last, len(last)))
 
     def _unit_ids(self, unit: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for piece in self.pattern.findall(unit):
-            found = self.pieces.get(piece)
-            if found is None:
-                found = self.walk(piece.encode())
-                if len(piece) <= KEPT_CHARS:
-                    if len(self.pieces) >= MAX_PIECES:
-                        self.pieces.clear()
-                    self.pieces[piece] = found
-            ids += found
-        if len(unit) <= KEPT_CHARS:
+        """The ids of a unit that the young table lacks."""
+        short = len(unit) <= KEPT_CHARS
+        ids = self.old_units.get(unit) if short else None
+        if ids is None:
+            listed: list[int] = []
+            for piece in self.pattern.findall(unit):
+                listed += self.pieces.get(piece) or self._piece_ids(piece)
+            ids = tuple(listed)
+        if short:
             if len(self.units) >= MAX_UNITS:
-                self.units.clear()
-            self.units[unit] = tuple(ids)
-        return tuple(ids)
+                self.old_units, self.units = self.units, {}
+            self.units[unit] = ids
+        return ids
+
+    def _piece_ids(self, piece: str) -> tuple[int, ...]:
+        """The ids of a piece that the young table lacks."""
+        found = self.old_pieces.get(piece)
+        if found is None:
+            found = self.walk(piece.encode())
+        if len(piece) <= KEPT_CHARS:
+            if len(self.pieces) >= MAX_PIECES:
+                self.old_pieces, self.pieces = self.pieces, {}
+            self.pieces[piece] = found
+        return found
 
     def encode(self, text: str) -> Iterator[tuple[int, ...]]:
         """The ids of a text in order, unit by unit.
@@ -258,12 +280,14 @@ class Transducer:
         follows: the pattern always starts a match there, whatever is before.
         """
         units = text.split(" ") if self.gap.search(text) is None else self.cut.split(text)
-        known, learn = self.units.get, self._unit_ids
-        space = ""
+        known, space = self.units.get, ""
         for unit in units:
             unit = space + unit
             found = known(unit)
-            yield learn(unit) if found is None else found
+            if found is None:
+                found = self._unit_ids(unit)
+                known = self.units.get
+            yield found
             space = " "
 
     def decode(self, ids: Iterable[int]) -> Iterator[bytes]:
@@ -282,9 +306,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-@lru_cache(maxsize=4)
 def transducer(path: str, pattern: str) -> Transducer:
-    return Transducer(read_ranks(path), pattern)
+    return worker_state(("transducer", path, pattern), lambda: Transducer(read_ranks(path), pattern))
 
 
 def encode_texts(
@@ -339,7 +362,7 @@ def token_digests(
         coder = transducer(ranks_path, pattern)
         listed, decoded, stream = hashlib.sha256(), hashlib.sha256(), Utf8Stream()
         n, damaged, gap = 0, False, ""
-        names, token = _names(ranks_path, pattern), coder.token
+        names, token = coder.names, coder.token
         block: list[int] = []
 
         def flush() -> None:
@@ -366,9 +389,3 @@ def token_digests(
         by_row(rows, ("doc_id", "text"), schema),
         "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, valid_utf8 boolean",
     )
-
-
-@lru_cache(maxsize=4)
-def _names(path: str, pattern: str) -> dict[int, str]:
-    """The decimal text of each id."""
-    return {i: str(i) for i in transducer(path, pattern).token}

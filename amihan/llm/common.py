@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -57,6 +59,27 @@ def map_arrow(
     return df.mapInArrow(function, schema)
 
 
+_STATE: dict[Hashable, Any] = {}
+
+
+def worker_state(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps between its tasks, made when it is first asked for.
+
+    Workers are used again by later stages: only the last state asked for is
+    kept, and the memory of the one before goes back to the machine.
+    """
+    if key not in _STATE:
+        _STATE.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            # Other C libraries give memory back by themselves.
+            pass
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def block_of(key: Column, starts: list[int]) -> Column:
     """The last place of a descending list that is not below the key, by bisection."""
     listed = F.array(*[F.lit(s) for s in starts])
