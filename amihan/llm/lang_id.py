@@ -8,8 +8,10 @@ language that needs the fewest wins.
 
 The automaton is laid out as a table (state, letter) -> state, with the start
 of a new piece already followed, so that thousands of text segments step
-through all languages at once.  Texts are cut into segments of fixed length;
-every letter of every segment counts.
+through it at once.  A language's table has columns for its own letters only.
+Frequent letters are one symbol, all others are spelled by their UTF-8 bytes,
+so every letter keeps its identity.  Texts are cut into segments of fixed
+length; every letter of every segment counts.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +27,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from amihan.llm.common import map_arrow, slices
+from amihan.llm.common import map_arrow, slices, worker_state
 
 #: Bounds of the sample of one language: documents, and characters of each from a place that a hash chooses.
 SAMPLE_DOCS = 128
 SAMPLE_CHARS = 512
-#: Letters with a class of their own, the most frequent of the sample; all others share one.
-MAX_LETTERS = 200
+#: Bytes of the tables of all languages; of many languages shorter samples are used.
+TABLE_BYTES = 256 << 20
+#: Letters with a symbol of their own, the most frequent of the sample beside a to z; others are spelled.
+MAX_LETTERS = 100
 SEGMENT = 1024
 NEW_PIECE = np.int32(-(1 << 31))
 UNKNOWN = "und"
-#: Classes: all that is no letter, letters the sample lacks, the end of a text, and filling.
-GAP, OTHER, LETTERS = 0, 1, 2
-END_OF_TEXT = 255
+#: Symbols: all that is no letter, filling, the bytes of spelled letters, letters, and the end of a text.
+GAP, FILLING, BYTES, LETTERS = 0, 1, 2, 130
+SPELLED, END_OF_TEXT = 254, 255
+ASCII = "abcdefghijklmnopqrstuvwxyz"
 
 
 def held_out(id_col: str = "doc_id"):
@@ -96,40 +100,60 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class CrossParser:
-    def __init__(self, samples: tuple[tuple[str, str], ...]) -> None:
+    def __init__(self, samples: tuple[tuple[str, str], ...], table_bytes: int = TABLE_BYTES) -> None:
         self.langs = [lang for lang, _ in samples]
-        counted = Counter(c for _, text in samples for c in text.lower() if c.isalpha())
-        letters = sorted(sorted(counted, key=lambda c: (-counted[c], c))[:MAX_LETTERS])
-        self.width = LETTERS + len(letters) + 1
-        self.filling = self.width - 1
-        self.classes = np.fromiter((OTHER if chr(c).isalpha() else GAP for c in range(0x110000)), np.uint8, 0x110000)
+        counted = Counter(c for _, text in samples for c in text.lower() if c.isalpha() and c not in ASCII)
+        letters = ASCII + "".join(sorted(counted, key=lambda c: (-counted[c], c))[: MAX_LETTERS - len(ASCII)])
+        self.classes = np.fromiter((SPELLED if chr(c).isalpha() else GAP for c in range(0x110000)), np.uint8, 0x110000)
         self.classes[[ord(c) for c in letters]] = np.arange(LETTERS, LETTERS + len(letters))
         self.classes[0] = END_OF_TEXT
-        tables, self.roots, self.bits = [], [], []
-        offset = 0
+        #: Per language: its table, and the column of each symbol in it.
+        self.tables, self.columns, self.bits = [], [], []
         for _, text in samples:
             symbols = self.symbols([text])
             symbols = symbols[symbols != END_OF_TEXT]
-            arrows = suffix_automaton(symbols.tolist())
-            table = np.empty((len(arrows), self.width), np.int32)
-            root = np.full(self.width, offset, np.int32)
-            for symbol, to in arrows[0].items():
-                root[symbol] = offset + to * self.width
-            table[:] = root | NEW_PIECE
-            for state, out in enumerate(arrows):
-                for symbol, to in out.items():
-                    table[state, symbol] = offset + to * self.width
-            table[:, self.filling] = offset + np.arange(len(arrows), dtype=np.int32) * self.width
-            tables.append(table.ravel())
-            self.roots.append(offset)
+            # An automaton has fewer than two states a symbol, a state four bytes a column.
+            width = len(np.unique(symbols)) + 2
+            symbols = symbols[: max(1, table_bytes // (len(samples) * 8 * width))]
+            table, column = self._table(symbols)
+            self.tables.append(table)
+            self.columns.append(column)
             self.bits.append(math.log2(max(2, len(symbols))))
-            offset += table.size
-        self.table = np.concatenate(tables) if tables else np.empty(0, np.int32)
+
+    @staticmethod
+    def _table(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A flat table of what each state and own symbol lead to; column 0 is of all symbols the sample lacks, 1 of filling."""
+        own = np.unique(symbols)
+        column = np.zeros(256, np.int32)
+        column[own] = np.arange(2, 2 + len(own))
+        column[FILLING] = 1
+        width = len(own) + 2
+        arrows = suffix_automaton(column[symbols].tolist())
+        root = np.zeros(width, np.int32)
+        for symbol, to in arrows[0].items():
+            root[symbol] = to * width
+        table = np.empty((len(arrows), width), np.int32)
+        table[:] = root | NEW_PIECE
+        for state, out in enumerate(arrows):
+            for symbol, to in out.items():
+                table[state, symbol] = to * width
+        table[:, 1] = np.arange(len(arrows), dtype=np.int32) * width
+        return table.ravel(), column
 
     def symbols(self, texts: list[str]) -> np.ndarray:
-        """Classes of all letters in order; runs of other characters are one gap; each text ends with a mark."""
+        """Symbols of all letters in order; runs of other characters are one gap; each text ends with a mark."""
         whole = "".join(t.replace("\x00", " ").lower() + "\x00" for t in texts)
-        classes = self.classes[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        classes = self.classes[points]
+        spelled = classes == SPELLED
+        if spelled.any():
+            # All spelled letters are beyond ASCII: two bytes or more.
+            rare = points[spelled]
+            sizes = np.ones(len(points), np.int64)
+            sizes[spelled] = 2 + (rare >= 0x800) + (rare >= 0x10000)
+            letters = rare.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+            classes, place = np.repeat(classes, sizes), np.repeat(spelled, sizes)
+            classes[place] = np.frombuffer(letters, np.uint8) - np.uint8(0x80 - BYTES)
         gap = classes == GAP
         return classes[np.concatenate(([True], ~(gap[1:] & gap[:-1])))] if len(classes) else classes
 
@@ -139,7 +163,9 @@ class CrossParser:
         ends = np.flatnonzero(symbols == END_OF_TEXT)
         begins = np.concatenate(([0], ends[:-1] + 1))
         lengths = ends - begins
-        letters = np.concatenate(([0], np.cumsum((symbols != GAP) & (symbols != END_OF_TEXT))))
+        # A spelled letter counts by its first byte.
+        later = (symbols >= BYTES) & (symbols < BYTES + 0x40)
+        letters = np.concatenate(([0], np.cumsum((symbols != GAP) & (symbols != END_OF_TEXT) & ~later)))
         n_letters = letters[ends] - letters[begins]
         lanes = -(-lengths // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), lanes)
@@ -150,13 +176,15 @@ class CrossParser:
         order = np.argsort(-size, kind="stable")
         owner, start, size = owner[order], start[order], size[order]
         under_way = np.searchsorted(-size, -np.arange(SEGMENT), side="left")
-        at = np.repeat(np.array(self.roots, np.int32)[:, None], len(owner), axis=1)
+        at = np.zeros((len(self.langs), len(owner)), np.int32)
         counts = np.ones(at.shape, np.int32)
         for t in range(int(size.max(initial=0))):
             n = int(under_way[t])
-            step = self.table.take(at[:, :n] + symbols[start[:n] + t].astype(np.int32))
-            counts[:, :n] += step < 0
-            at[:, :n] = step & ~NEW_PIECE
+            seen = symbols[start[:n] + t]
+            for i, (table, column) in enumerate(zip(self.tables, self.columns)):
+                step = table.take(at[i, :n] + column.take(seen))
+                counts[i, :n] += step < 0
+                at[i, :n] = step & ~NEW_PIECE
         out = np.zeros((len(texts), len(self.langs)))
         for i in range(len(self.langs)):
             out[:, i] = np.bincount(owner, counts[i], minlength=len(texts))
@@ -179,9 +207,8 @@ class CrossParser:
         return names, np.clip(score, 0.0, 1.0), np.where(spoken, least / np.maximum(letters, 1), 0.0)
 
 
-@lru_cache(maxsize=2)
 def parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
-    return CrossParser(samples)
+    return worker_state(("languages", samples), lambda: CrossParser(samples))
 
 
 def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
