@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from amihan.catalog.check_sql import AS_OF, half_up
 from amihan.catalog.detections import RISK
@@ -16,6 +15,7 @@ from amihan.functions.scoring import account_status_points, geography_points
 from amihan.operators import customer_day as cd
 from amihan.operators import kyc, risk, signals
 from amihan.operators.listed import containing
+from amihan.operators.running import with_running_totals
 from amihan.operators.skew import join_groups
 from amihan.operators.structuring import cash_debit_days
 from amihan.plans import facts
@@ -320,8 +320,7 @@ _DAY_WINDOW = "partition by customer_id, txn_date_ph order by txn_id"
 )
 def _running_sum_day(x):
     """Every cash row with the sum of its day so far."""
-    day = Window.partitionBy(*cd.KEYS).orderBy("txn_id")
-    return x.transactions.filter(_is_cash()).withColumn("running_total", F.sum("amount_php").over(day))
+    return with_running_totals(x.transactions.filter(_is_cash()), cd.KEYS, "txn_id", {"running_total": F.col("amount_php")})
 
 
 @query(
@@ -331,8 +330,7 @@ def _running_sum_day(x):
 )
 def _row_number_day(x):
     """Every cash row with its place in its day; ``ctr_related_cash`` needs the first only and aggregates."""
-    day = Window.partitionBy(*cd.KEYS).orderBy("txn_id")
-    return x.transactions.filter(_is_cash()).withColumn("day_rank", F.row_number().over(day))
+    return with_running_totals(x.transactions.filter(_is_cash()), cd.KEYS, "txn_id", {"day_rank": F.lit(1).cast("long")})
 
 
 @query(

@@ -7,6 +7,7 @@ from datetime import date
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from rows import PARAMS, raw_customers, raw_documents, raw_screening, raw_txns
 
@@ -15,10 +16,14 @@ from amihan.functions.calendar import working_day_deadline
 from amihan.functions.keys import with_dense_key
 from amihan.functions.ordinals import span, with_working_day, working_day_calendar
 from amihan.operators import quality as dq
+from amihan.operators.customer_day import customer_day
+from amihan.operators.extensions import signal_smurfing
 from amihan.operators.listed import containing
+from amihan.operators.running import with_running_totals
 from amihan.plans.dimensions import create_masked_view, set_viewer_role
 from amihan.plans.landing import run_landing
 from amihan.plans.monthly import run_monthly
+from amihan.plans.optional import run_optional
 from amihan.sources import published, sinks
 from amihan.sources.raw import read_raw, scan
 from amihan.sources.seeds import SEEDS, bad_seed_lines, load_seeds, read_seed, write_seed_files
@@ -279,3 +284,39 @@ def test_dense_keys_sort_only_keys(spark):
     out = with_dense_key(df, "k", "sk")
     assert out.columns == ["sk", "k", "wide"]
     assert [(r.sk, r.k) for r in out.orderBy("sk").collect()] == [(i + 1, f"K{i:04d}") for i in range(500)]
+
+
+def test_running_totals_equal_a_window(spark):
+    rows = spark.range(3_000).select(
+        F.format_string("T%05d", F.pmod(F.col("id") * 7919, F.lit(3_000))).alias("id"),
+        F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("C"), F.col("id") % 40)).alias("c"),
+        (F.col("id") % 2).alias("d"),
+        F.when(F.col("id") % 11 > 0, F.col("id").cast("decimal(10,2)")).alias("amount"),
+    )
+    out = with_running_totals(rows, ["c", "d"], "id", {"total": F.col("amount"), "place": F.lit(1)})
+    window = Window.partitionBy("c", "d").orderBy("id")
+    expected = rows.withColumn("total", F.coalesce(F.sum("amount").over(window), F.lit(0))).withColumn("place", F.row_number().over(window))
+    show = lambda df: sorted((r.id, r.c or "", r.d, float(r.total), r.place) for r in df.collect())
+    assert show(out) == show(expected)
+    assert with_running_totals(rows.limit(0), ["c", "d"], "id", {"total": F.col("amount")}).count() == 0
+
+
+def test_optional_run_follows_the_published_tables(spark, tmp_path):
+    lake, out = Lake(spark, "/root/testdata/sf0.001"), str(tmp_path)
+    with pytest.raises(ValueError):
+        run_optional(spark, out, PARAMS)
+    for name, df in lake.bronze.items():
+        sinks.overwrite_table(df, f"{out}/bronze/{name}")
+    sinks.overwrite_table(customer_day(lake.transactions), f"{out}/silver/customer_day")
+    sinks.overwrite_table(lake.dim_customers, f"{out}/gold/dim_customers")
+    first = run_optional(spark, out, PARAMS)
+    counts = {name: df.count() for name, df in first.items()}
+    smurfing = signal_smurfing(lake.transactions, PARAMS, lake.seeds.holidays)
+    assert first["signals"].where("indicator_code = 'PATTERN_01'").count() == smurfing.count() and counts["signals"] > 0
+    assert counts["customer_history"] == 150 and counts["retained_transactions"] == 1500
+    again = run_optional(spark, out, PARAMS)
+    assert rows_of(again["customer_history"].select("customer_id", "risk_tier", "is_current")) == rows_of(
+        first["customer_history"].select("customer_id", "risk_tier", "is_current")
+    )
+    assert published.current(spark, f"{out}/optional/customer_history").number == 2
+    assert published.read(spark, f"{out}/optional/signals").count() == counts["signals"]
