@@ -90,29 +90,32 @@ def mix_sources(
     Nulls: a null source is a source of its own (rate 0 under given weights),
     a null text has size 1, a null id hashes as its text.  Rows that repeat an
     id (or a text, without an id) get the same count each and stay apart.  An empty table gives no rows.
-    Input columns of the three added names are replaced; all others stay.
+    Input columns of the three added names are replaced; all others stay, whatever their names.
     """
     size = F.coalesce(F.length(text_col), F.lit(0)).cast("long") + 1
     rates = source_rates(docs, source_col, size, weights, temperature, budget)
     pieces = F.greatest(F.lit(1), F.ceil(F.col("rate") / PIECE)).cast("int")
+    # Names that no input column begins with.
+    own = "__"
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
+    kept = [c for c in docs.columns if c not in ("copy_no", "n_copies", "shuffle_key")]
     plan = rates.select(
-        F.col("source").alias("__source"), pieces.alias("__pieces"), poisson_cdf(F.col("rate") / pieces).alias("__cdf")
+        F.col("source").alias(f"{own}source"), pieces.alias(f"{own}pieces"), poisson_cdf(F.col("rate") / pieces).alias(f"{own}cdf")
     )
-    same = docs[source_col].eqNullSafe(plan["__source"])
+    same = docs[source_col].eqNullSafe(plan[f"{own}source"])
     if rates.count() <= BROADCAST_ROWS:
         joined = docs.join(F.broadcast(plan), same)
     else:
-        plan = plan.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        docs = docs.withColumn("__salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
-        joined = docs.join(plan, docs[source_col].eqNullSafe(plan["__source"]) & (docs["__salt"] == plan["__salt"]))
-        joined = joined.drop(plan["__salt"]).drop(docs["__salt"])
+        plan = plan.withColumn(f"{own}part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        docs = docs.withColumn(f"{own}salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
+        joined = docs.join(plan, docs[source_col].eqNullSafe(plan[f"{own}source"]) & (docs[f"{own}salt"] == plan[f"{own}part"]))
     name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
     draws = F.transform(
-        F.sequence(F.lit(1), F.col("__pieces")),
-        lambda i: F.size(F.filter(F.col("__cdf"), lambda c: c < uniform(F.lit(str(seed)), name, i.cast("string")))),
+        F.sequence(F.lit(1), F.col(f"{own}pieces")),
+        lambda i: F.size(F.filter(F.col(f"{own}cdf"), lambda c: c < uniform(F.lit(str(seed)), name, i.cast("string")))),
     )
     counted = joined.withColumn("n_copies", F.aggregate(draws, F.lit(0), lambda a, n: a + n).cast("long"))
-    kept = [c for c in docs.columns if c not in ("copy_no", "n_copies", "shuffle_key", "__salt")]
     copies = counted.where(F.col("n_copies") > 0).select(
         *kept, "n_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))).alias("copy_no")
     )
