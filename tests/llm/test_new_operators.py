@@ -7,10 +7,11 @@ import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from amihan.llm import chat, collocations, filter_audit, hilbert, pii
+from amihan.llm import byte_bpe, chat, collocations, common, filter_audit, hilbert, lang_id, mixing, pii, piecewise_hash
 from amihan.llm.arrays import last_not_above, running_ends, running_most, with_cutter
 from amihan.llm.queries import QUERIES
 
@@ -318,3 +319,125 @@ def test_long_conversations(spark):
     row = chats.select(chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
     assert [(t["role"], t["text"]) for t in row["turns"]] == [("user" if i % 3 == 0 else "assistant", f"t<{i}>") for i in range(100_000)]
     assert row["loss"] == "".join(f"t<{i}>" for i in range(100_000) if i % 3)
+
+
+# Cross-parsing, fingerprints, tokens and mixing against plain versions ------------------
+
+
+def spelled_symbols(text, own):
+    out = []
+    for c in text.lower():
+        if not c.isalpha():
+            if not out or out[-1] != "gap":
+                out.append("gap")
+        else:
+            out += [c] if c in own else list(c.encode())
+    return out
+
+
+def brute_pieces(sample, text, own):
+    known, asked = spelled_symbols(sample, own), spelled_symbols(text, own)
+    parts, current = min(1, len(asked)), []
+    inside = lambda run: any(known[i : i + len(run)] == run for i in range(len(known) - len(run) + 1))
+    for symbol in asked:
+        if inside([*current, symbol]):
+            current.append(symbol)
+        else:
+            parts, current = parts + 1, [symbol] if inside([symbol]) else []
+    return parts
+
+
+def test_cross_parsing_equals_substring_search(monkeypatch):
+    """More letters than have symbols: the others are spelled and stay apart."""
+    monkeypatch.setattr(lang_id, "MAX_LETTERS", 30)
+    pick = random.Random(12)
+    alphabets = ["abcdeéß ", "абвгдежз ", "日本語文字列一二三四五 ", "αβγδ🙂12 "]
+    text = lambda letters, n: "".join(pick.choice(letters) for _ in range(n))
+    samples = tuple((f"l{i}", text(a, 300)) for i, a in enumerate(alphabets))
+    parse = lang_id.CrossParser(samples)
+    counted = Counter(c for _, t in samples for c in t.lower() if c.isalpha() and c not in lang_id.ASCII)
+    own = set(lang_id.ASCII) | set(sorted(counted, key=lambda c: (-counted[c], c))[:4])
+    texts = [text(a, n) for a in (*alphabets, "abzжß日ж") for n in (0, 1, 40, 200)] + ["", " ", "q"]
+    pieces, letters = parse.pieces(texts)
+    assert letters.tolist() == [sum(c.isalpha() for c in t.lower()) for t in texts]
+    for i, t in enumerate(texts):
+        assert pieces[i].tolist() == [brute_pieces(s, t, own) for _, s in samples], t
+
+
+def test_tables_of_many_languages_stay_within_their_bound():
+    pick = random.Random(13)
+    samples = tuple((f"l{i:03d}", "".join(chr(0x4E00 + 40 * i + pick.randint(0, 39)) for _ in range(2_000))) for i in range(60))
+    parse = lang_id.CrossParser(samples, table_bytes=4 << 20)
+    assert sum(t.nbytes for t in parse.tables) <= 4 << 20
+    names, _, _ = parse.predict([t[:50] for _, t in samples])
+    assert names == [lang for lang, _ in samples]
+
+
+def brute_fingerprint(data):
+    rolling = []
+    for i in range(len(data)):
+        h = 0
+        for k in range(i - 6, i + 1):
+            h = (h * 0x9E3779B1 + (data[k] if k >= 0 else 0) + 1) & 0xFFFFFFFF
+        h = ((h ^ h >> 15) * 0x2C1B3C6D) & 0xFFFFFFFF
+        rolling.append(h ^ h >> 13)
+    ends = lambda bits: [i + 1 for i, h in enumerate(rolling) if h & (1 << bits) - 1 == (1 << bits) - 1]
+    bits = next(b for b in range(2, 34) if len(ends(b)) < 64)
+    shown = []
+    for b in (bits, bits + 1):
+        cuts = ends(b)
+        cuts += [len(data)] if data and (not cuts or cuts[-1] < len(data)) else []
+        out = ""
+        for begin, end in zip([0, *cuts], cuts):
+            x = sum((c + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, c in enumerate(data[begin:end])) % (1 << 64)
+            x = ((x ^ x >> 31) * 0xBF58476D1CE4E5B9) % (1 << 64) >> 52
+            out += piecewise_hash.ALPHABET[x >> 6] + piecewise_hash.ALPHABET[x & 63]
+        shown.append(out)
+    return f"{1 << bits}:{shown[0]}:{shown[1]}"
+
+
+def test_fingerprints_equal_byte_by_byte(monkeypatch):
+    pick = random.Random(14)
+    texts = [b"", b"a", bytes(300), bytes(pick.randrange(256) for _ in range(2_000)), "wörter und sätze ".encode() * 40]
+    texts += [bytes(pick.choice(b"abc ") for _ in range(n)) for n in (3, 64, 255, 256, 700)]
+    expected = [brute_fingerprint(t) for t in texts]
+    assert [str(piecewise_hash.fingerprint(t)) for t in texts] == expected
+    monkeypatch.setattr(piecewise_hash, "SEGMENT", 97)
+    piecewise_hash._powers.cache_clear()
+    assert [str(piecewise_hash.fingerprint(t)) for t in texts] == expected
+    piecewise_hash._powers.cache_clear()
+
+
+def test_small_tables_change_no_token(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    pick = random.Random(15)
+    texts = ["".join(pick.choice(["the", "Thing", "é", "日本", " ", "  ", "\n", "123", "'s", "unhappily"]) + pick.choice(["", " "]) for _ in range(60)) for _ in range(80)]
+    ranks = byte_bpe.read_ranks(path)
+    wide = byte_bpe.Transducer(ranks, public_tokenizers.PATTERN)
+    expected = [[i for ids in wide.encode(t) for i in ids] for t in texts]
+    for name in ("MAX_PAIRS", "MAX_PIECES", "MAX_UNITS", "MAX_HEADS"):
+        monkeypatch.setattr(byte_bpe, name, 3)
+    narrow = byte_bpe.Transducer(ranks, public_tokenizers.PATTERN)
+    assert [[i for ids in narrow.encode(t) for i in ids] for t in texts] == expected
+    assert max(len(narrow.units), len(narrow.pieces), len(narrow.old_units)) <= 4
+
+
+def test_a_worker_keeps_one_state():
+    made = []
+    make = lambda name: lambda: made.append(name) or [name]
+    first = common.worker_state("a", make("a"))
+    assert common.worker_state("a", make("a")) is first
+    common.worker_state("b", make("b"))
+    assert common.worker_state("a", make("a")) == ["a"] and made == ["a", "b", "a"]
+
+
+def test_mixing_keeps_columns_named_as_its_own(spark, monkeypatch):
+    docs = documents(spark, [(i, "x" * i, "en", "s" if i % 2 else None) for i in range(40)])
+    plain = mixing.mix_sources(docs, budget=2.0).select("doc_id", "copy_no", "shuffle_key").collect()
+    clashing = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(("__source", "__pieces", "__cdf", "__salt", "__PART", "copy_no"))])
+    for rows in (10_000, 0):
+        monkeypatch.setattr(mixing, "BROADCAST_ROWS", rows)
+        out = mixing.mix_sources(clashing, budget=2.0)
+        assert out.columns == [c for c in clashing.columns if c != "copy_no"] + ["n_copies", "copy_no", "shuffle_key"]
+        assert out.select("doc_id", "copy_no", "shuffle_key").collect() == plain
+        assert {tuple(r) for r in out.select("__source", "__salt", "__PART").collect()} == {(0, 3, 4)}
