@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from amihan.functions.calendar import as_of
 from amihan.operators.customer_day import KEYS as DAY_KEYS
 from amihan.operators.signals import KEYS
-from amihan.operators.skew import join_groups
+from amihan.operators.skew import join_groups, keep_groups
 from amihan.params import AmlParams
 
 # Codes and scores of the documented indicators.
@@ -90,9 +90,14 @@ def signal_smurfing(
     return _signal(joined, SMURFING_CODE, SMURFING_SCORE, F.col("_depositors"))
 
 
-def signal_flagged_customers(transactions: DataFrame, flagged: DataFrame, code: str, score: int) -> DataFrame:
-    """All transactions of flagged customers; code and score are the caller's."""
-    rows = transactions.select(*KEYS).join(flagged.select("customer_id"), "customer_id", "left_semi")
+def signal_flagged_customers(
+    transactions: DataFrame, flagged: DataFrame, code: str, score: int, hot: DataFrame | None = None
+) -> DataFrame:
+    """All transactions of flagged customers; code and score are the caller's.
+
+    ``hot`` has the customers with very many transactions, to be salted.
+    """
+    rows = keep_groups(transactions.select(*KEYS), flagged, ["customer_id"], F.col("txn_id"), hot)
     return _signal(rows, code, score, F.lit(None))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amihan.operators.layering import LAYERING_CODE
+from amihan.operators.skew import keep_groups
 from amihan.operators.structuring import STRUCTURING_CODE
 from amihan.params import AmlParams
 from amihan.sources.seeds import Jurisdiction
@@ -105,25 +106,26 @@ def signal_fatf(
     jurisdictions: Sequence[Jurisdiction],
     params: AmlParams,
     active_only: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Transactions of known customers that name a listed jurisdiction.
 
     Rows are filtered before they are shuffled to meet the customers; several
-    jurisdictions in one row give several signals.
+    jurisdictions in one row give several signals.  ``hot`` has the customers
+    with very many transactions, to be salted.
     """
     any_hit, hits = jurisdiction_hits(jurisdictions, params, active_only)
     rows = transactions.filter(any_hit).select(*KEYS, hits.alias("_hits"))
-    known = rows.join(customers.select("customer_id"), "customer_id", "left_semi")
+    known = keep_groups(rows, customers, ["customer_id"], F.col("txn_id"), hot)
     each = known.withColumn("_hit", F.explode("_hits"))
     return _signal(each, F.col("_hit.code"), F.col("_hit.score"), F.col("_hit.detail"))
 
 
-def signal_pep(transactions: DataFrame, customers: DataFrame, params: AmlParams) -> DataFrame:
-    """Larger transactions of politically exposed customers."""
+def signal_pep(transactions: DataFrame, customers: DataFrame, params: AmlParams, hot: DataFrame | None = None) -> DataFrame:
+    """Larger transactions of politically exposed customers; ``hot`` as in :func:`signal_fatf`."""
     rows = transactions.filter(F.col("amount_php") >= params.pep_min_amount).select(*KEYS, "amount_php")
-    peps = customers.filter("is_pep").select("customer_id")
     return _signal(
-        rows.join(peps, "customer_id", "left_semi"),
+        keep_groups(rows, customers.filter("is_pep"), ["customer_id"], F.col("txn_id"), hot),
         F.lit(PEP_CODE),
         F.lit(params.pep_signal_score),
         F.col("amount_php"),

@@ -48,3 +48,11 @@ def join_groups(
     )
     joined = salted_rows.drop("_parts").join(salted_groups.drop("_parts"), [*keys, "_salt"])
     return joined.drop("_salt")
+
+
+def keep_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread: Column, hot: DataFrame | None = None) -> DataFrame:
+    """The rows whose group is among ``groups``, in which keys may repeat; large groups are salted as in :func:`join_groups`."""
+    named = groups.select(*keys)
+    if hot is None:
+        return rows.join(named, list(keys), "left_semi")
+    return join_groups(rows, named.distinct(), keys, spread, hot).select(*rows.columns)

@@ -25,7 +25,7 @@ def run_optional(spark: SparkSession, out_root: str, params: AmlParams, seed_roo
     """Build the opt-in tables below ``out_root/optional`` and return them by name.
 
     Groups with very many rows are salted where rows meet them: customer-days
-    for dormancy, accounts and days for smurfing.  The customer history is
+    for dormancy, accounts and days for smurfing, customers for flags.  The customer history is
     carried on from its last version; a second run on one day changes nothing.
     """
     out_root = out_root.rstrip("/")
@@ -45,6 +45,7 @@ def run_optional(spark: SparkSession, out_root: str, params: AmlParams, seed_roo
     documents, screening = table("bronze", "stg_kyc_documents"), table("bronze", "stg_watchlist")
     days = table("silver", "customer_day")
     hot_days = hot_groups(days, DAY_KEYS, "day_count")
+    hot_customers = hot_groups(days.groupBy("customer_id").agg(F.sum("day_count").alias("_n")), ["customer_id"], "_n")
     put("layering_net_intent", int_layering_detection(txns, params, days, hot_days, signed_net=True).where("is_layering_pattern"))
     put("kyc_score_100", int_kyc_health(customers, documents, params, hundred_scale=True))
     numbered = txns.select("counterparty_account", ext.banking_day_number(F.col("txn_date_ph"), seeds.holidays).alias("_day"))
@@ -53,11 +54,11 @@ def run_optional(spark: SparkSession, out_root: str, params: AmlParams, seed_roo
     signals = (
         ext.signal_dormancy(txns, params, hot_days)
         .unionByName(ext.signal_smurfing(txns, params, seeds.holidays, hot_accounts))
-        .unionByName(ext.signal_flagged_customers(txns, out["kyc_score_100"].where("kyc_exception"), KYC_CODE, KYC_SCORE))
-        .unionByName(ext.signal_flagged_customers(txns, screening.where("is_potential_match"), WATCHLIST_CODE, WATCHLIST_SCORE))
+        .unionByName(ext.signal_flagged_customers(txns, out["kyc_score_100"].where("kyc_exception"), KYC_CODE, KYC_SCORE, hot_customers))
+        .unionByName(ext.signal_flagged_customers(txns, screening.where("is_potential_match"), WATCHLIST_CODE, WATCHLIST_SCORE, hot_customers))
     )
     put("signals", signals, "txn_date_ph")
-    put("fatf_active", signal_fatf(txns, customers, seeds.jurisdictions, params, active_only=True), "txn_date_ph")
+    put("fatf_active", signal_fatf(txns, customers, seeds.jurisdictions, params, active_only=True, hot=hot_customers), "txn_date_ph")
     snapshot = table("gold", "dim_customers").drop("valid_from", "valid_to", "is_current", "dbt_loaded_at", "customer_sk")
     history = published.read(spark, f"{out_root}/optional/customer_history")
     if history is None:

@@ -16,10 +16,12 @@ from amihan.functions.calendar import working_day_deadline
 from amihan.functions.keys import with_dense_key
 from amihan.functions.ordinals import span, with_working_day, working_day_calendar
 from amihan.operators import quality as dq
+from amihan.operators import signals
 from amihan.operators.customer_day import customer_day
-from amihan.operators.extensions import signal_smurfing
+from amihan.operators.extensions import signal_flagged_customers, signal_smurfing
 from amihan.operators.listed import containing
 from amihan.operators.running import with_running_totals
+from amihan.operators.skew import hot_groups
 from amihan.plans.dimensions import create_masked_view, set_viewer_role
 from amihan.plans.landing import run_landing
 from amihan.plans.monthly import run_monthly
@@ -320,3 +322,20 @@ def test_optional_run_follows_the_published_tables(spark, tmp_path):
     )
     assert published.current(spark, f"{out}/optional/customer_history").number == 2
     assert published.read(spark, f"{out}/optional/signals").count() == counts["signals"]
+
+
+def test_salted_customers_give_the_same_signals(spark):
+    lake = Lake(spark, "/root/testdata/sf0.001")
+    sizes = lake.transactions.groupBy("customer_id").agg(F.count("*").alias("n"))
+    hot = hot_groups(sizes, ["customer_id"], "n", rows_per_split=4)
+    assert hot.count() > 50
+    flagged = lake.customers.where("is_pep").select("customer_id")
+    for build in (
+        lambda h: signals.signal_fatf(lake.transactions, lake.customers, lake.seeds.jurisdictions, PARAMS, hot=h),
+        lambda h: signals.signal_pep(lake.transactions, lake.customers, PARAMS, hot=h),
+        lambda h: signal_flagged_customers(lake.transactions, flagged.unionByName(flagged), "X", 1, hot=h),
+    ):
+        plain, salted = build(None), build(hot)
+        assert plain.columns == salted.columns
+        show = lambda df: sorted(map(repr, df.collect()))
+        assert show(plain) == show(salted) and plain.count() > 0
