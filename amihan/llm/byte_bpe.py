@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 
 from amihan.llm.common import by_row, map_arrow, worker_state
 
-#: Bounds of the young tables of one worker.
-MAX_PAIRS = 200_000
-MAX_PIECES = 250_000
-MAX_UNITS = 350_000
-MAX_HEADS = 150_000
+#: Bounds of the young tables of one worker; a dictionary doubles its room just beyond such numbers.
+MAX_PAIRS = 174_000
+MAX_PIECES = 174_000
+MAX_UNITS = 349_000
+MAX_HEADS = 87_000
 #: Lengths of beginnings of pieces whose state is kept, the longer first.
 HEADS = (8, 4)
 #: Longer pieces and units are not kept.
@@ -252,10 +252,15 @@ class Transducer:
         short = len(unit) <= KEPT_CHARS
         ids = self.old_units.get(unit) if short else None
         if ids is None:
-            listed: list[int] = []
-            for piece in self.pattern.findall(unit):
-                listed += self.pieces.get(piece) or self._piece_ids(piece)
-            ids = tuple(listed)
+            pieces = self.pattern.findall(unit)
+            if len(pieces) == 1 and pieces[0] == unit:
+                # One object serves as key and value of both tables.
+                ids = self.pieces.get(unit) or self._piece_ids(unit)
+            else:
+                listed: list[int] = []
+                for piece in pieces:
+                    listed += self.pieces.get(piece) or self._piece_ids(piece)
+                ids = tuple(listed)
         if short:
             if len(self.units) >= MAX_UNITS:
                 self.old_units, self.units = self.units, {}

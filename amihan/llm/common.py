@@ -20,6 +20,8 @@ from amihan.session import run_folder
 
 #: Rows of one call into Python below which no further splitting is done; texts are split by bytes first.
 SLICE_BYTES = 8 << 20
+#: Bytes of text whose rows are turned into Python objects at once.
+ROW_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,7 +120,7 @@ def by_row(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, columns[-1]):
+            for batch in slices(whole, columns[-1], ROW_BYTES):
                 rows = [r for values in zip(*(batch.column(c).to_pylist() for c in columns)) for r in function(*values)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema
