@@ -8,7 +8,8 @@ version.  Data that no row names, such as that of a killed run, is not read.
 A version may share folders with the one before: an append adds one, and a
 table partitioned by a column can replace some of its values and keep the
 files of all others.  A table may be derived from itself, since its own
-files are never touched.  There is one writer at a time.
+files are never touched.  There is one writer at a time.  Partition values
+are numbers, dates, booleans or plain words, as they name folders.
 """
 
 from __future__ import annotations
@@ -77,6 +78,8 @@ def read(spark: SparkSession, path: str, number: int | None = None) -> DataFrame
 
 def _written(df: DataFrame, path: str, partition_by: str | None, cluster_by: Sequence[str], rows_per_file: int) -> tuple[str, ...]:
     """Write rows to a new folder; the folders that now hold them, one for each partition value."""
+    if PUBLICATION in df.columns:
+        raise ValueError(f"a published table has no column named {PUBLICATION}")
     name = f"{PUBLICATION}=p{uuid.uuid4().hex}"
     root = f"{path}/publications"
     order = [*([partition_by] if partition_by else []), *cluster_by]

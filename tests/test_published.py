@@ -81,6 +81,8 @@ def test_empty_tables_and_empty_appends(spark, tmp_path):
     assert rows_of(published.append(table(spark), path, partition_by="part")) == [("a", None, 1)]
     with pytest.raises(ValueError):
         published.append(table(spark), path)
+    with pytest.raises(ValueError):
+        published.publish(table(spark).withColumnRenamed("n", "publication"), path)
 
 
 def test_replaced_partitions_leave_the_files_of_others(spark, tmp_path):
