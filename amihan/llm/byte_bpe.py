@@ -21,14 +21,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amihan.llm.common import by_row, map_arrow, worker_state
+from amihan.llm.common import by_row, give_back, map_arrow, worker_state
 
 #: Bounds of the young tables of one worker; a dictionary doubles its room just beyond such numbers.
 MAX_PAIRS = 174_000
@@ -98,15 +98,19 @@ class Transducer:
         self.ending: list[tuple[tuple[int, int], ...]] = [()]
         self.arrows: dict[int, int] = {}
         self.state_of: dict[bytes, int] = {b"": 0}
+        self.old_stable: dict[int, bool] = {}
+        self.forget()
+        self.gap = regex.compile(r" (?!\S)")
+        self.cut = regex.compile(r" (?=\S)")
+
+    def forget(self) -> None:
+        """Empty the tables of texts; what is known of the vocabulary stays."""
         self.heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.units: dict[str, tuple[int, ...]] = {}
-        self.old_stable: dict[int, bool] = {}
         self.old_heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}
         self.old_pieces: dict[str, tuple[int, ...]] = {}
         self.old_units: dict[str, tuple[int, ...]] = {}
-        self.gap = regex.compile(r" (?!\S)")
-        self.cut = regex.compile(r" (?=\S)")
 
     def _merged(self, data: bytes, below: int) -> list[bytes]:
         """Merge the lowest rank first while it is under a bound."""
@@ -315,6 +319,16 @@ def transducer(path: str, pattern: str) -> Transducer:
     return worker_state(("transducer", path, pattern), lambda: Transducer(read_ranks(path), pattern))
 
 
+def _task_ends(path: str, pattern: str) -> Callable[[], None]:
+    """Workers may idle while others work: the tables of a task's texts go when it ends."""
+
+    def done() -> None:
+        transducer(path, pattern).forget()
+        give_back()
+
+    return done
+
+
 def encode_texts(
     docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -332,7 +346,8 @@ def encode_texts(
         yield doc_id, [i for ids in coder.encode(text or "") for i in ids]
 
     asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_arrow(asked, by_row(rows, ("doc_id", "text"), schema), "doc_id bigint, ids array<int>")
+    run = by_row(rows, ("doc_id", "text"), schema, _task_ends(ranks_path, pattern))
+    return map_arrow(asked, run, "doc_id bigint, ids array<int>")
 
 
 def decode_ids(coded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -391,6 +406,6 @@ def token_digests(
     asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return map_arrow(
         asked,
-        by_row(rows, ("doc_id", "text"), schema),
+        by_row(rows, ("doc_id", "text"), schema, _task_ends(ranks_path, pattern)),
         "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, valid_utf8 boolean",
     )

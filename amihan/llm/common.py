@@ -73,15 +73,19 @@ def worker_state(key: Hashable, make: Callable[[], Any]) -> Any:
     if key not in _STATE:
         _STATE.clear()
         gc.collect()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):
-            # Other C libraries give memory back by themselves.
-            pass
+        give_back()
         _STATE[key] = make()
     return _STATE[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the machine; C libraries without this call do so by themselves."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def block_of(key: Column, starts: list[int]) -> Column:
     """The last place of a descending list that is not below the key, by bisection."""
     listed = F.array(*[F.lit(s) for s in starts])
@@ -114,17 +118,24 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 
 def by_row(
-    function: Callable[..., Iterable[tuple[Any, ...]]], columns: tuple[str, ...], schema: pa.Schema
+    function: Callable[..., Iterable[tuple[Any, ...]]],
+    columns: tuple[str, ...],
+    schema: pa.Schema,
+    done: Callable[[], None] | None = None,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A mapInArrow function that gives each row's columns to a generator of output rows."""
+    """A mapInArrow function that gives each row's columns to a generator of output rows; ``done`` ends a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, columns[-1], ROW_BYTES):
-                rows = [r for values in zip(*(batch.column(c).to_pylist() for c in columns)) for r in function(*values)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema
-                )
+        try:
+            for whole in batches:
+                for batch in slices(whole, columns[-1], ROW_BYTES):
+                    rows = [r for values in zip(*(batch.column(c).to_pylist() for c in columns)) for r in function(*values)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema
+                    )
+        finally:
+            if done is not None:
+                done()
 
     return run
 
