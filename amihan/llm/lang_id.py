@@ -34,6 +34,8 @@ SAMPLE_DOCS = 128
 SAMPLE_CHARS = 512
 #: Bytes of the tables of all languages; of many languages shorter samples are used.
 TABLE_BYTES = 256 << 20
+#: Bytes of text parsed at once; its symbols and counts take about twenty times as much.
+PARSED_BYTES = 1 << 20
 #: Letters with a symbol of their own, the most frequent of the sample beside a to z; others are spelled.
 MAX_LETTERS = 100
 SEGMENT = 1024
@@ -69,34 +71,38 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     return [(lang, "\n".join(t for _, t in sorted(texts))) for lang, texts in sorted(by_lang.items())]
 
 
-def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
-    """The arrows of each state of the smallest automaton that knows all substrings."""
-    arrows: list[dict[int, int]] = [{}]
+def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
+    """The smallest automaton that knows all substrings: a row for each state, the state each symbol leads to or 0.
+
+    No arrow leads to state 0, the start.  Rows are filled in place, so nothing
+    but the table is held; memory of rows beyond the last state is never touched.
+    """
+    rows = np.zeros((2 * len(symbols) + 1, width), np.int32)
+    arrows = memoryview(rows.reshape(-1))
     link, longest, last = [-1], [0], 0
     for symbol in symbols:
-        new = len(arrows)
-        arrows.append({})
+        new = len(link)
         longest.append(longest[last] + 1)
         link.append(0)
         at = last
-        while at >= 0 and symbol not in arrows[at]:
-            arrows[at][symbol] = new
+        while at >= 0 and not arrows[at * width + symbol]:
+            arrows[at * width + symbol] = new
             at = link[at]
         if at >= 0:
-            to = arrows[at][symbol]
+            to = arrows[at * width + symbol]
             if longest[to] == longest[at] + 1:
                 link[new] = to
             else:
-                copy = len(arrows)
-                arrows.append(dict(arrows[to]))
+                copy = len(link)
+                rows[copy] = rows[to]
                 longest.append(longest[at] + 1)
                 link.append(link[to])
                 link[to] = link[new] = copy
-                while at >= 0 and arrows[at].get(symbol) == to:
-                    arrows[at][symbol] = copy
+                while at >= 0 and arrows[at * width + symbol] == to:
+                    arrows[at * width + symbol] = copy
                     at = link[at]
         last = new
-    return arrows
+    return rows[: len(link)]
 
 
 class CrossParser:
@@ -128,16 +134,13 @@ class CrossParser:
         column[own] = np.arange(2, 2 + len(own))
         column[FILLING] = 1
         width = len(own) + 2
-        arrows = suffix_automaton(column[symbols].tolist())
-        root = np.zeros(width, np.int32)
-        for symbol, to in arrows[0].items():
-            root[symbol] = to * width
-        table = np.empty((len(arrows), width), np.int32)
-        table[:] = root | NEW_PIECE
-        for state, out in enumerate(arrows):
-            for symbol, to in out.items():
-                table[state, symbol] = to * width
-        table[:, 1] = np.arange(len(arrows), dtype=np.int32) * width
+        table = suffix_automaton(column[symbols].tolist(), width)
+        table *= width
+        root = table[0].copy()
+        for symbol in range(width):
+            to = table[:, symbol]
+            to[to == 0] = root[symbol] | NEW_PIECE
+        table[:, 1] = np.arange(len(table), dtype=np.int32) * width
         return table.ravel(), column
 
     def symbols(self, texts: list[str]) -> np.ndarray:
@@ -229,7 +232,7 @@ def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parse = parser(sent.value)
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, PARSED_BYTES):
                 names, score, bits = parse.predict([t or "" for t in batch.column(text_col).to_pylist()])
                 columns = [*batch.columns, pa.array(names, pa.string()), pa.array(score), pa.array(bits)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *added])
