@@ -441,3 +441,18 @@ def test_mixing_keeps_columns_named_as_its_own(spark, monkeypatch):
         assert out.columns == [c for c in clashing.columns if c != "copy_no"] + ["n_copies", "copy_no", "shuffle_key"]
         assert out.select("doc_id", "copy_no", "shuffle_key").collect() == plain
         assert {tuple(r) for r in out.select("__source", "__salt", "__PART").collect()} == {(0, 3, 4)}
+
+
+def test_automaton_knows_exactly_the_substrings():
+    rng = random.Random(11)
+    for size in (0, 1, 2, 7, 40, 90):
+        symbols = [rng.choice((2, 3, 4)) for _ in range(size)]
+        rows = lang_id.suffix_automaton(symbols, 6)
+        assert len(rows) <= max(1, 2 * size)
+        known = {tuple(symbols[i:j]) for i in range(size) for j in range(i, size + 1)} | {()}
+        found, waiting = set(), [((), 0)]
+        while waiting:
+            read, state = waiting.pop()
+            found.add(read)
+            waiting += [((*read, s), int(to)) for s, to in enumerate(rows[state]) if to]
+        assert found == known
