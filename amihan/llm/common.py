@@ -32,11 +32,25 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives lost executors."""
+#: Spark's own setting; releases that don't know it keep shuffle files until their frames are collected.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, label: str, free: bool = False) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage, survives lost executors.
+
+    With ``free`` the shuffle files of the write go when it ends.
+    """
     spark = df.sparkSession
     path = run_folder(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    if free:
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

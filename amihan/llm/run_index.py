@@ -19,42 +19,70 @@ import numpy as np
 DEPTH = 128
 
 
-def suffix_order(text: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """Positions in the order of the suffixes, by their first ``depth`` symbols at least; symbols are 0 to the alphabet's size."""
+def packed(text: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """As many symbols from each position on as a word of 63 bits holds, zeros after the end; with that number and a symbol's bits."""
     n = len(text)
     bits = max(1, int(text.max(initial=0)).bit_length())
     known = max(1, 63 // bits)
     key = np.zeros(n, np.uint64)
-    padded = np.concatenate([text.astype(np.uint64), np.zeros(known, np.uint64)])
     for k in range(known):
         key <<= np.uint64(bits)
-        key |= padded[k : k + n]
-    while True:
-        order = np.argsort(key)
-        ranked = key[order]
-        new = np.empty(n, bool)
-        new[0] = True
-        np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
-        classes = np.cumsum(new)
-        if known >= depth or classes[-1] == n:
-            return order
-        rank = np.zeros(n + 1, np.uint64)
-        rank[order] = classes
-        key = rank[:n] << np.uint64(32)
-        if known < n:
-            key[: n - known] |= rank[known:n]
+        if k < n:
+            key[: n - k] |= text[k:].astype(np.uint64)
+    return key, known, bits
+
+
+def suffix_order(key: np.ndarray, known: int, depth: int = DEPTH) -> np.ndarray:
+    """Positions in the order of the suffixes, by their first ``depth`` symbols at least; key holds the first ``known`` of each.
+
+    A rank is the first place of equal suffixes, so it stays as those are told apart by more symbols.
+    """
+    n = len(key)
+    order = np.argsort(key)
+    new = np.empty(n, bool)
+    new[0] = True
+    ranked = key[order]
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    del ranked
+    rank = np.zeros(n, np.uint32)
+    while known < depth:
+        first = np.flatnonzero(new)
+        rank[order] = np.repeat(first, np.diff(np.append(first, n)))
+        tied = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if not len(tied):
+            break
+        at = order[tied]
+        pair = rank[at].astype(np.uint64) << np.uint64(32)
+        inside = at + known < n
+        pair[inside] |= rank[at[inside] + known] + np.uint64(1)
+        by = np.argsort(pair)
+        pair = pair[by]
+        order[tied] = at[by]
+        new[tied[1:]] |= pair[1:] != pair[:-1]
         known *= 2
+    return order
+
+
+def dense_symbols(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct symbols, and the place of each position's symbol among them; a table does it where symbols are small."""
+    most = int(text.max(initial=0))
+    if most > 4 * len(text):
+        symbols, dense = np.unique(text, return_inverse=True)
+        return symbols, dense.astype(np.int32)
+    there = np.zeros(most + 1, bool)
+    there[text] = True
+    return np.flatnonzero(there), (np.cumsum(there, dtype=np.int32) - 1)[text]
 
 
 class RunIndex:
     def __init__(self, text: np.ndarray) -> None:
-        self.symbols, dense = np.unique(text, return_inverse=True)
-        self.text = dense.astype(np.int64)
+        self.symbols, self.text = dense_symbols(text)
         self.n = len(text)
-        order = suffix_order(self.text)
+        self.packed, self.known, self.bits = packed(self.text)
+        order = suffix_order(self.packed, self.known)
         before = self.text[order - 1]
         begins = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
-        self.begins, self.heads = begins, before[begins]
+        self.begins, self.heads = begins, before[begins].astype(np.int64)
         lengths = np.diff(np.append(begins, self.n))
         self.first_at, self.last_at = order[begins], order[begins + lengths - 1]
         self.last_row = begins + lengths - 1
@@ -68,22 +96,24 @@ class RunIndex:
     def _shared(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> np.ndarray:
         """Lengths of the common beginnings of the text at two places, up to a limit."""
         out = np.zeros(len(a), np.int64)
+        limit = np.minimum(limit, self.n - np.maximum(a, b))
         alive = np.flatnonzero(limit > 0)
+        x, y = a[alive], b[alive]
         while len(alive):
-            x, y = a[alive] + out[alive], b[alive] + out[alive]
-            inside = (x < self.n) & (y < self.n)
-            same = inside & (self.text[np.minimum(x, self.n - 1)] == self.text[np.minimum(y, self.n - 1)])
-            alive = alive[same]
-            out[alive] += 1
-            alive = alive[out[alive] < limit[alive]]
-        return out
+            differ = self.packed[x] ^ self.packed[y]
+            # Without the bit below the first that differs, rounding can't reach the next power of two.
+            first = np.frexp((differ & ~(differ >> np.uint64(1))).astype(np.float64))[1] - 1
+            out[alive] += np.where(differ == 0, self.known, self.known - 1 - first // self.bits)
+            on = (differ == 0) & (out[alive] < limit[alive])
+            alive, x, y = alive[on], x[on] + self.known, y[on] + self.known
+        return np.minimum(out, np.maximum(limit, 0))
 
     def matching_statistics(self, patterns: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """For rows of symbols, the longest match at each place; rows must come longest first, filling is ignored."""
         m, width = patterns.shape
         found = np.searchsorted(self.symbols, patterns)
         dense = np.where(self.symbols[np.minimum(found, len(self.symbols) - 1)] == patterns, found, -1)
-        out = np.zeros((m, width), np.int64)
+        out = np.zeros((m, width), np.int32)
         row, at, size = np.zeros(m, np.int64), np.full(m, self.first_at[0]), np.zeros(m, np.int64)
         for back in range(1, int(lengths.max(initial=0)) + 1):
             live = int(np.searchsorted(-lengths, -back, side="right"))

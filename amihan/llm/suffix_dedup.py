@@ -9,21 +9,25 @@ bytes, so an earlier shard means a smaller id.
 2. By anchor it is found which groups also occur in an earlier shard - all
    their windows go - and which anchors have groups of different bytes: only
    there can windows be equal in part.
-3. Each shard marks what is decided, and sends the bytes of the first
+3. Each shard sends the spans that are decided, and the bytes of the first
    occurrence of each undecided group, with the list of the other places the
    group has in that document or in rows that repeat its id: what is found of
    the one sent goes at all of them.
-4. Undecided groups of one anchor are ranked by document.  For each binary
+4. A common window holds the anchor and at least half of what it has beside
+   it on one side, so a group that shares neither half with another group of
+   its anchor is done.  The others of one anchor are ranked by document.  For each binary
    digit of the rank a run-length index is built of the groups with digit 0,
    and those with digit 1 are streamed against the index of their own higher
    digits: their matching statistics tell which windows start in an earlier
    document.  So each group meets exactly all groups before it.
    An anchor with more bytes of undecided groups than one index may hold is
    too common for one task: its windows are dealt by their own hashes instead.
-5. Marks of a document are joined and its bytes are cut.
+5. The documents are dealt to their shards again, and the spans are cut out.
 
 Shards, and pieces of very long texts in them, have bounded size; of what many
-documents share only one row a shard travels.
+documents share only one row a shard travels.  What a step finds is stored
+without the texts, and its shuffle files are freed before the next step deals
+the texts: the disk holds one dealing of them at a time.
 """
 
 from __future__ import annotations
@@ -36,9 +40,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amihan.llm.common import block_of, map_arrow, raw_bytes, ship_package, stored
+from amihan.llm.common import block_of, give_back, raw_bytes, ship_package, stored
 from amihan.llm.run_index import RunIndex
-from amihan.llm.window_groups import Groups, window_groups
+from amihan.llm.shingles import mix
+from amihan.llm.window_groups import GRAM, POWER, Groups, window_groups
 from amihan.operators.skew import hot_groups, join_groups
 
 SHARD_BYTES = 20 << 20
@@ -46,6 +51,8 @@ SHARD_BYTES = 20 << 20
 SLICE_BYTES = 2 << 20
 #: Bytes of undecided groups in one index, about; an anchor with more is dealt by windows.
 INDEX_BYTES = 12 << 20
+#: Bytes of groups in one task's index at a time, about; an anchor is never cut.
+INDEXED = 3 << 20
 #: Groups of a shard whose bytes are copied at once.
 COPIED = 32_768
 #: Groups that are streamed at once.
@@ -53,8 +60,8 @@ STREAMED = 32_768
 #: Places of one group that a row lists; a group with more is sent in several rows.
 PLACES = 8_192
 MAX_ID = (1 << 63) - 1
-DOC = "kind int, uid bigint, doc_id bigint, n_bytes bigint, text binary, begins array<bigint>, ends array<bigint>, n_removed bigint, n_spans bigint, kept_sha256 string"
-GROUP = "anchor bigint, content bigint, key bigint, start bigint, more_uids array<bigint>, more_starts array<bigint>"
+#: A decided span (kind 0), or an undecided group with its other places (kind 1).
+MARKED = "kind int, uid bigint, begin bigint, end bigint, text binary, anchor bigint, place int, key bigint, more_uids array<bigint>, more_starts array<bigint>"
 
 
 def _shards(rows: DataFrame, shard_bytes: int) -> list[int]:
@@ -107,7 +114,8 @@ def _all_groups(texts: list[memoryview], length: int) -> Groups:
     parts = []
     for data, borders, docs, places in _pieces(texts, length):
         g = window_groups(np.frombuffer(data, np.uint8), borders, length)
-        parts.append((docs[g.doc], g.start - borders[g.doc] + places[g.doc], g.windows, g.anchor, g.content) if len(g.start) else (g.doc, g.start, g.windows, g.anchor, g.content))
+        doc, start = (docs[g.doc], g.start - borders[g.doc] + places[g.doc]) if len(g.start) else (g.doc, g.start)
+        parts.append((doc, start, g.windows, g.anchor, g.content, g.place))
     if not parts:
         return window_groups(np.empty(0, np.uint8), np.zeros(1, np.int64), length)
     return Groups(*(np.concatenate(c) for c in zip(*parts)))
@@ -123,6 +131,18 @@ def _merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return begins[new], reach[np.concatenate((new[1:], [True]))]
 
 
+def _in_order(docs: pa.Table) -> tuple[pa.Table, list[memoryview], np.ndarray]:
+    """A shard's documents and their texts, and where each begins if they lie one after the other with gaps.
+
+    A document's place is the same each time the shard is dealt: only rows with
+    equal ids and equal texts, of which the same bytes go, may change places.
+    """
+    docs = docs.sort_by([("key", "ascending"), ("text", "ascending")]).combine_chunks()
+    texts = [t for batch in docs.to_batches() for t in raw_bytes(batch, "text")]
+    lengths = np.array([len(t) + 1 for t in texts])
+    return docs, texts, np.cumsum(lengths) - lengths
+
+
 def _cut(text: memoryview, begins: np.ndarray, ends: np.ndarray) -> tuple[int, int, str]:
     """(bytes removed, runs, digest of what stays)."""
     digest, at = hashlib.sha256(), 0
@@ -181,9 +201,9 @@ def decide(rows: pa.Table) -> pa.Table:
 
 
 def mark(length: int):
-    """Step 3: a shard's documents with what is decided, and the bytes of its undecided groups."""
+    """Step 3: the decided spans of a shard, and the bytes of its undecided groups."""
     schema = pa.schema(
-        [("kind", pa.int32()), ("uid", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("text", pa.binary()), ("begins", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("anchor", pa.int64()), ("content", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("more_uids", pa.list_(pa.int64())), ("more_starts", pa.list_(pa.int64()))]
+        [("kind", pa.int32()), ("uid", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("text", pa.binary()), ("anchor", pa.int64()), ("place", pa.int32()), ("key", pa.int64()), ("more_uids", pa.list_(pa.int64())), ("more_starts", pa.list_(pa.int64()))]
     )
 
     def table(n: int, kind: int, **columns) -> pa.Table:
@@ -194,10 +214,9 @@ def mark(length: int):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
-        docs = docs.sort_by("key").combine_chunks()
-        texts = [t for batch in docs.to_batches() for t in raw_bytes(batch, "text")]
+        give_back()
+        docs, texts, at_of = _in_order(docs)
         keys, shard = docs.column("key").to_numpy(), docs.column("shard")[0].as_py()
-        ids = docs.column("doc_id").to_pylist()
         g = _all_groups(texts, length)
         gone = np.sort(_hashes(replies.column("gone").to_pylist(), "<u8"))
         open_ = np.sort(_hashes(replies.column("undecided").to_pylist(), "<u8"))
@@ -220,20 +239,10 @@ def mark(length: int):
         place = np.arange(len(order)) - np.flatnonzero(first)[np.cumsum(first) - 1] if len(order) else order
         heads = np.flatnonzero(place[waits[order]] % PLACES == 0)
         tails = np.append(heads[1:], len(held))
-        begins_of = np.searchsorted(g.doc, np.arange(len(texts) + 1))
-        out: list[dict] = []
-        for i, text in enumerate(texts):
-            part = slice(begins_of[i], begins_of[i + 1])
-            c = covered[part]
-            begins, ends = _merged(g.start[part][c], (g.start[part] + g.windows[part] + length - 1)[c])
-            one = {"uid": (shard << 32) + i, "doc_id": ids[i], "n_bytes": len(text)}
-            if waits[part].any():
-                one |= {"text": bytes(text), "begins": begins.tolist(), "ends": ends.tolist()}
-            else:
-                one |= dict(zip(("n_removed", "n_spans", "kept_sha256"), _cut(text, begins, ends)))
-            out.append(one)
-        tables = [table(len(out), 0, **{n: [r.get(n) for r in out] for n in schema.names[1:10]})]
-        del out
+        at = at_of[g.doc[covered]] + g.start[covered]
+        begins, ends = _merged(at, at + g.windows[covered] + length - 1)
+        doc = np.searchsorted(at_of, begins, side="right") - 1
+        tables = [table(len(doc), 0, uid=(shard << 32) + doc, begin=begins - at_of[doc], end=ends - at_of[doc])]
         inner = np.argsort(held[heads])
         for at in range(0, len(inner), COPIED):
             some = inner[at : at + COPIED]
@@ -248,9 +257,10 @@ def mark(length: int):
                     uid=(shard << 32) + where,
                     text=[bytes(texts[i][x:y]) for i, x, y in zip(where.tolist(), starts.tolist(), stops.tolist())],
                     anchor=g.anchor[first_of],
-                    content=g.content[first_of].view(np.int64),
+                    place=g.place[first_of],
                     key=keys[where],
-                    start=starts,
+                    begin=starts,
+                    end=stops,
                     more_uids=[((shard << 32) + g.doc[m]).tolist() if len(m) else None for m in more],
                     more_starts=[g.start[m].tolist() if len(m) else None for m in more],
                 )
@@ -260,6 +270,26 @@ def mark(length: int):
     return run
 
 
+def _shares_a_side(data: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, anchor: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """Whether a group has the bytes beside its anchor, before or after it, in common with another group of the anchor.
+
+    Windows of two groups can only be equal if it has: of the bytes of a window
+    beside the anchor, at least half are on one side.  Equal hashes of
+    different bytes let a group through in vain.
+    """
+    half = (length - GRAM + 1) // 2
+    out = np.zeros(len(anchor), bool)
+    for begin in (place - half, place + GRAM):
+        some = np.flatnonzero((begin >= 0) & (begin + half <= lengths))
+        at, key = (offsets + begin)[some], anchor[some].astype(np.uint64)
+        for k in range(half):
+            key *= np.uint64(POWER)
+            key += data[at + k]
+        _, which, counts = np.unique(mix(key), return_inverse=True, return_counts=True)
+        out[some] |= counts[which] > 1
+    return out
+
+
 def match_groups(length: int):
     """Step 4: which windows of a bucket's undecided groups start in an earlier document, at each place of the group.
 
@@ -269,9 +299,18 @@ def match_groups(length: int):
     schema = pa.schema([("uid", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())])
 
     def run(rows: pa.Table) -> pa.Table:
+        give_back()
         texts = rows.column("text").to_pylist()
+        lengths = np.array([len(t) for t in texts])
+        offsets = np.cumsum(lengths) - lengths
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        del texts
+        near = _shares_a_side(data, offsets, lengths, rows.column("anchor").to_numpy(), rows.column("place").to_numpy(), length)
+        if not near.any():
+            return schema.empty_table()
+        rows, lengths, offsets = rows.filter(pa.array(near)), lengths[near], offsets[near]
         anchor, key = rows.column("anchor").to_numpy(), rows.column("key").to_numpy()
-        uid, start = rows.column("uid").to_numpy(), rows.column("start").to_numpy()
+        uid, start = rows.column("uid").to_numpy(), rows.column("begin").to_numpy()
         n_more = pa.compute.list_value_length(rows.column("more_uids")).fill_null(0).to_numpy()
         more_uids, more_starts = (pa.compute.list_flatten(rows.column(c)).to_numpy() for c in ("more_uids", "more_starts"))
         order = np.lexsort((key, anchor))
@@ -280,47 +319,56 @@ def match_groups(length: int):
         document = np.cumsum(new | np.concatenate(([True], key[order][1:] != key[order][:-1])))
         rank = np.empty(len(order), np.int64)
         rank[order] = document - document[np.flatnonzero(new)][np.cumsum(new) - 1]
-        lengths = np.array([len(t) for t in texts])
-        offsets = np.cumsum(lengths) - lengths
-        data = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
-        marks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        low, high = np.full(len(order), MAX_ID), np.zeros(len(order), np.int64)
 
         # Symbols of different blocks differ, so a group matches only where it should.
         def joined(some: np.ndarray, block: np.ndarray) -> np.ndarray:
             """The groups one after the other, each with a stop."""
             room = lengths[some] + 1
-            within = np.arange(room.sum()) - np.repeat(np.cumsum(room) - room, room)
-            source = np.repeat(offsets[some], room) + within
-            inside = within < np.repeat(lengths[some], room)
-            return np.where(inside, data[np.minimum(source, len(data) - 1)] + 257 * np.repeat(block[some], room), 0)
+            ends = np.cumsum(room)
+            source = np.repeat(offsets[some] - ends + room, room)
+            source += np.arange(len(source))
+            source[ends - 1] = 0
+            symbols = data[source].astype(np.int64)
+            symbols += np.repeat(257 * block + 1, room)
+            symbols[ends - 1] = 0
+            return symbols
 
         def rows_of(some: np.ndarray, block: np.ndarray) -> np.ndarray:
             within = np.arange(lengths[some].max())[None, :]
-            symbols = data[np.minimum(offsets[some][:, None] + within, len(data) - 1)] + 257 * block[some][:, None]
+            symbols = data[np.minimum(offsets[some][:, None] + within, len(data) - 1)] + (257 * block + 1)[:, None]
             return np.where(within < lengths[some][:, None], symbols, 0)
 
-        for digit in range(int(rank.max(initial=0)).bit_length()):
-            block = rank >> (digit + 1)
-            asks = (rank >> digit & 1) == 1
-            # Only groups of an anchor and block that is asked for need be in the index.
-            pair = anchor << 31 | block
-            held = ~asks & np.isin(pair, pair[asks])
-            # Most anchors have one block only; apart from the others, symbols are bytes and sort faster.
-            for part in (block == 0, block > 0):
-                stream = np.flatnonzero(asks & part)
-                if not len(stream):
-                    continue
-                index = RunIndex(joined(np.flatnonzero(held & part), block))
-                stream = stream[np.argsort(-lengths[stream], kind="stable")]
-                for at in range(0, len(stream), STREAMED):
-                    some = stream[at : at + STREAMED]
-                    hits = index.matching_statistics(rows_of(some, block), lengths[some]) >= length
-                    any_ = hits.any(axis=1)
-                    some, hits = some[any_], hits[any_]
-                    marks.append((some, hits.argmax(axis=1), hits.shape[1] - 1 - hits[:, ::-1].argmax(axis=1) + length))
-        if not marks:
-            return schema.empty_table()
-        group, begin, end = (np.concatenate(c) for c in zip(*marks))
+        firsts = np.flatnonzero(new)
+        sizes = np.add.reduceat(lengths[order], firsts)
+        slices = (np.cumsum(sizes) - sizes) // INDEXED
+        borders = np.append(firsts[np.flatnonzero(np.concatenate(([True], slices[1:] != slices[:-1])))], len(order))
+        for x, y in zip(borders.tolist(), borders[1:].tolist()):
+            members = order[x:y]
+            ranks = rank[members]
+            for digit in range(int(ranks.max()).bit_length()):
+                block = ranks >> (digit + 1)
+                asks = (ranks >> digit & 1) == 1
+                # Only groups of an anchor and block that is asked for need be in the index.
+                pair = anchor[members] << 31 | block
+                held = ~asks & np.isin(pair, pair[asks])
+                # Most anchors have one block only; apart from the others, symbols are bytes and sort faster.
+                for part in (block == 0, block > 0):
+                    stream = np.flatnonzero(asks & part)
+                    if not len(stream):
+                        continue
+                    index = RunIndex(joined(members[held & part], block[held & part]))
+                    stream = stream[np.argsort(-lengths[members[stream]], kind="stable")]
+                    for at in range(0, len(stream), STREAMED):
+                        own = stream[at : at + STREAMED]
+                        some = members[own]
+                        hits = index.matching_statistics(rows_of(some, block[own]), lengths[some]) >= length
+                        any_ = hits.any(axis=1)
+                        some, hits = some[any_], hits[any_]
+                        low[some] = np.minimum(low[some], hits.argmax(axis=1))
+                        high[some] = np.maximum(high[some], hits.shape[1] - 1 - hits[:, ::-1].argmax(axis=1) + length)
+        group = np.flatnonzero(high)
+        begin, end = low[group], high[group]
         n = n_more[group]
         other = np.arange(n.sum()) + np.repeat((np.cumsum(n_more) - n_more)[group] - np.cumsum(n) + n, n)
         uids, starts = np.concatenate([uid[group], more_uids[other]]), np.concatenate([start[group], more_starts[other]])
@@ -337,6 +385,7 @@ def common_windows(groups: DataFrame, length: int) -> DataFrame:
     joined back, a window with very many places in parts.  What is found of a
     group (see match_groups) goes to all its places.
     """
+    groups = groups.withColumnRenamed("begin", "start")
     windows = groups.select("uid", "key", "start", "text", F.explode(F.sequence(F.lit(0), F.octet_length("text") - length)).alias("place"))
     window = F.substring("text", F.col("place") + 1, F.lit(length))
     windows = windows.select("uid", "key", "start", "place", F.xxhash64(window).alias("h1"), F.xxhash64(F.lit(length), window).alias("h2"))
@@ -353,6 +402,20 @@ def common_windows(groups: DataFrame, length: int) -> DataFrame:
     return at.select(F.col("at.more_uids").alias("uid"), begin.alias("begin"), (begin - F.col("low") + F.col("high") + length).alias("end"))
 
 
+def cut_spans(docs: pa.Table, spans: pa.Table) -> pa.Table:
+    """Step 5: a shard's documents without their spans."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+    if not docs.num_rows:
+        return schema.empty_table()
+    docs, texts, at_of = _in_order(docs)
+    at = at_of[spans.column("uid").to_numpy() & 0xFFFFFFFF]
+    begins, ends = _merged(at + spans.column("begin").to_numpy(), at + spans.column("end").to_numpy())
+    borders = np.append(np.searchsorted(begins, at_of), len(begins)).tolist()
+    out = [_cut(t, begins[x:y] - at, ends[x:y] - at) for t, at, x, y in zip(texts, at_of.tolist(), borders, borders[1:])]
+    columns = [docs.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), *(pa.array([r[k] for r in out], schema.field(k + 2).type) for k in range(3))]
+    return pa.Table.from_arrays(columns, schema=schema)
+
+
 def remove_repeats(
     docs: DataFrame,
     length: int = 50,
@@ -383,34 +446,22 @@ def remove_repeats(
         send_groups(length, buckets), "bucket int, shard int, anchors binary, contents binary"
     )
     replies = sent.groupBy("bucket").applyInArrow(decide, "shard int, gone binary, undecided binary")
-    replies = replies.select(F.col("shard").alias("to"), "gone", "undecided")
-    marked = dealt.groupBy("shard").cogroup(replies.groupBy("to")).applyInArrow(mark(length), f"{DOC}, {GROUP}")
-    marked = stored(marked, "repeats")
-    groups = marked.where("kind = 1")
+    replies = stored(replies.select(F.col("shard").alias("to"), "gone", "undecided"), "repeat-replies", free=True)
+    marked = dealt.groupBy("shard").cogroup(replies.groupBy("to")).applyInArrow(mark(length), MARKED)
+    marked = stored(marked, "repeats", free=True)
+    groups = marked.where("kind = 1").drop("kind", "end")
     of_anchor = groups.groupBy("anchor").agg(F.sum(F.octet_length("text")).alias("size"))
-    common = stored(of_anchor.where(F.col("size") > index_bytes).select("anchor"), "common-grams")
+    common = stored(of_anchor.where(F.col("size") > index_bytes).select("anchor"), "common-grams", free=True)
     by_windows = not common.isEmpty()
     indexed = groups.join(common, "anchor", "left_anti") if by_windows else groups
     size = indexed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = size // index_bytes + 1
-    spans = indexed.select(F.pmod("anchor", F.lit(parts)).alias("bucket"), "anchor", "content", "key", "uid", "start", "text", "more_uids", "more_starts").groupBy("bucket")
-    spans = spans.applyInArrow(match_groups(length), "uid bigint, begin bigint, end bigint")
+    found = indexed.withColumn("bucket", F.pmod("anchor", F.lit(parts))).groupBy("bucket")
+    found = found.applyInArrow(match_groups(length), "uid bigint, begin bigint, end bigint")
     if by_windows:
-        spans = spans.unionByName(common_windows(groups.join(common, "anchor", "left_semi"), length))
-    per_doc = spans.groupBy("uid").agg(F.collect_list("begin").alias("more_begins"), F.collect_list("end").alias("more_ends"))
-    documents = marked.where("kind = 0")
-    waiting = documents.where("text is not null").select("uid", "doc_id", "n_bytes", "text", "begins", "ends")
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for i, text in enumerate(raw_bytes(batch, "text")):
-                b, e, mb, me = (np.array(batch.column(c)[i].as_py() or [], np.int64) for c in ("begins", "ends", "more_begins", "more_ends"))
-                out.append(_cut(text, *_merged(np.concatenate([b, mb]), np.concatenate([e, me]))))
-            columns = [batch.column("doc_id"), batch.column("n_bytes"), *(pa.array([r[k] for r in out], schema.field(k + 2).type) for k in range(3))]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
+        found = found.unionByName(common_windows(groups.join(common, "anchor", "left_semi"), length))
+    found = stored(found, "repeat-spans", free=True)
+    spans = marked.where("kind = 0").select("uid", "begin", "end").unionByName(found)
+    spans = spans.withColumn("to", F.shiftright("uid", 32).cast("int"))
     names = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    cut = map_arrow(waiting.join(per_doc, "uid", "left").drop("uid"), finish, names)
-    return documents.where("text is null").select(*schema.names).unionByName(cut)
+    return dealt.groupBy("shard").cogroup(spans.groupBy("to")).applyInArrow(cut_spans, names)

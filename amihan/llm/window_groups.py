@@ -28,13 +28,14 @@ def powers(n: int, base: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Groups:
-    """Per group: its document, first window, number of windows, and hashes of its anchor and of all its bytes."""
+    """Per group: its document, first window, number of windows, hashes of its anchor and of all its bytes, and the anchor's place in it."""
 
     doc: np.ndarray
     start: np.ndarray
     windows: np.ndarray
     anchor: np.ndarray
     content: np.ndarray
+    place: np.ndarray
 
 
 def window_groups(data: np.ndarray, offsets: np.ndarray, length: int) -> Groups:
@@ -42,7 +43,7 @@ def window_groups(data: np.ndarray, offsets: np.ndarray, length: int) -> Groups:
     n = len(data)
     none = np.empty(0, np.int64)
     if n < length:
-        return Groups(none, none, none, np.empty(0, np.uint32), np.empty(0, np.uint64))
+        return Groups(none, none, none, np.empty(0, np.uint32), np.empty(0, np.uint64), np.empty(0, np.int32))
     room = 1 << max(12, n.bit_length())
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
@@ -84,6 +85,7 @@ def window_groups(data: np.ndarray, offsets: np.ndarray, length: int) -> Groups:
     ends = np.minimum(following, stops[np.searchsorted(stops, start, side="right")]) if len(start) else start
     doc = np.searchsorted(offsets, start, side="right") - 1
     anchor = (least[start] >> np.uint64(32)).astype(np.uint32)
+    place = ((least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64) - start).astype(np.int32)
     last = ends + length - 1
     content = mix((sums[last] - sums[start]) * back[start] + (ends - start).astype(np.uint64))
-    return Groups(doc, start, ends - start, anchor, content)
+    return Groups(doc, start, ends - start, anchor, content, place)

@@ -182,6 +182,81 @@ def test_repeats_in_one_document_and_under_one_id(spark, monkeypatch, shard_byte
     assert [r[2] for r in want if r[0] == 2] == [120]
 
 
+def test_repeats_leave_no_dealt_texts_on_disk(spark, monkeypatch):
+    """Only groups are stored, no whole texts, and the shuffle files of the texts are freed before the result is asked for."""
+    import os
+    import tempfile
+    import time
+    from pathlib import Path
+
+    rows = [(i, words(200 + i, 4_000) + " " + words(99, 12) + " " + words(400 + i, 4_000), "en", "a") for i in range(30)]
+    size = sum(len(r[1]) for r in rows)
+    docs = documents(spark, rows).cache()
+    docs.count()
+    root = Path(os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", tempfile.gettempdir()))
+    files = lambda: {p: p.stat().st_size for p in root.glob("**/blockmgr-*/*/shuffle_*.data") if p.exists()}
+    kept, stored = [], suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, *a, **k: kept.append(stored(df, *a, **k)) or kept[-1])
+    before = files()
+    out = suffix_dedup.remove_repeats(docs, shard_bytes=size // 4)
+    for _ in range(50):
+        left = sum(n for p, n in files().items() if p not in before)
+        if left < size // 4:
+            break
+        time.sleep(0.2)
+    assert left < size // 4
+    texts = [df.agg(F.max(F.octet_length("text"))).first()[0] or 0 for df in kept if "text" in df.columns]
+    assert texts and max(texts) < 100
+    assert Counter(tuple(r) for r in out.collect()) == Counter(brute_repeats(rows, 50))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    docs.unpersist()
+
+
+def test_groups_that_share_no_side_of_their_anchor_are_left_out():
+    import numpy as np
+
+    from amihan.llm.window_groups import GRAM
+
+    pick = random.Random(8)
+    letters = lambda n: bytes(pick.choice(b"abc") for _ in range(n))
+    for _ in range(60):
+        gram, sides = letters(GRAM), [letters(30) for _ in range(3)]
+        groups = []
+        for _ in range(8):
+            before, after = letters(30 - (n := pick.choice((0, 14, 15, 16, 30)))) + pick.choice(sides)[30 - n :], pick.choice(sides)[: (m := pick.choice((0, 14, 15, 16, 30)))] + letters(30 - m)
+            cut, end = pick.randint(0, 30), pick.randint(0, 30)
+            if cut + end <= 30:
+                groups.append((before[cut:] + gram + after[: 30 - end], 30 - cut))
+        if not groups:
+            continue
+        texts, place = [t for t, _ in groups], np.array([p for _, p in groups])
+        lengths = np.array([len(t) for t in texts])
+        got = suffix_dedup._shares_a_side(np.frombuffer(b"".join(texts), np.uint8), np.cumsum(lengths) - lengths, lengths, np.zeros(len(texts), np.int64), place, 50)
+        windows = [{(t[i : i + 50], p - i) for i in range(max(0, p - 30), min(p, len(t) - 50) + 1)} for t, p in groups]
+        for i, own in enumerate(windows):
+            assert got[i] or not any(own & w for j, w in enumerate(windows) if j != i)
+    assert not suffix_dedup._shares_a_side(np.frombuffer(b"a" * 60 + b"b" * 60, np.uint8), np.array([0, 60]), np.array([60, 60]), np.zeros(2, np.int64), np.array([20, 20]), 50).any()
+
+
+def test_suffix_order_and_shared_lengths_equal_brute_force():
+    import numpy as np
+
+    from amihan.llm.run_index import packed, suffix_order
+
+    pick = random.Random(4)
+    for letters in (2, 5, 300, 1 << 33):
+        for n in (1, 2, 40, 200):
+            text = [pick.randint(1, letters) if pick.random() < 0.3 else 1 for _ in range(n)] + [0]
+            index = RunIndex(np.array(text))
+            key, known, _ = packed(index.text)
+            order = suffix_order(key, known).tolist()
+            assert order == sorted(range(n + 1), key=lambda i: text[i:])
+            a, b, limit = (np.array([pick.randint(0, n) for _ in range(100)]) for _ in range(3))
+            for i, j, most, got in zip(a.tolist(), b.tolist(), limit.tolist(), index._shared(a, b, limit).tolist()):
+                want = next((k for k in range(min(most, n + 1 - max(i, j))) if text[i + k] != text[j + k]), max(0, min(most, n + 1 - max(i, j))))
+                assert got == want
+
+
 def test_matching_statistics_equal_brute_force():
     import numpy as np
 
