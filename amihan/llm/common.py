@@ -94,6 +94,7 @@ def worker_state(key: Hashable, make: Callable[[], Any]) -> Any:
 
 def give_back() -> None:
     """Return freed memory to the machine; C libraries without this call do so by themselves."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):

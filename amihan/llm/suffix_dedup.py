@@ -407,6 +407,7 @@ def cut_spans(docs: pa.Table, spans: pa.Table) -> pa.Table:
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
     if not docs.num_rows:
         return schema.empty_table()
+    give_back()
     docs, texts, at_of = _in_order(docs)
     at = at_of[spans.column("uid").to_numpy() & 0xFFFFFFFF]
     begins, ends = _merged(at + spans.column("begin").to_numpy(), at + spans.column("end").to_numpy())

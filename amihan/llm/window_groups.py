@@ -9,7 +9,6 @@ one anchor are a group; groups part the windows of a document.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 
@@ -19,11 +18,16 @@ GRAM = 20
 POWER = 0x9E3779B97F4A7C15
 
 
-@lru_cache(maxsize=4)
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+    """The first powers of a base, cut from one table that grows as needed."""
+    if len(_POWERS.get(base, ())) < n:
+        out = np.full((n >> 18) + 1 << 18, base, np.uint64)
+        out[0] = 1
+        _POWERS[base] = np.cumprod(out, out=out)
+    return _POWERS[base][:n]
 
 
 @dataclass(frozen=True)
@@ -44,14 +48,13 @@ def window_groups(data: np.ndarray, offsets: np.ndarray, length: int) -> Groups:
     none = np.empty(0, np.int64)
     if n < length:
         return Groups(none, none, none, np.empty(0, np.uint32), np.empty(0, np.uint64), np.empty(0, np.int32))
-    room = 1 << max(12, n.bit_length())
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
     product = data.astype(np.uint64)
     product += np.uint64(1)
-    product *= powers(room, POWER)[:n]
+    product *= powers(n, POWER)
     np.cumsum(product, out=sums[1:])
-    back = powers(room, pow(POWER, -1, 1 << 64))
+    back = powers(n, pow(POWER, -1, 1 << 64))
     grams = n - GRAM + 1
     packed = product[:grams]
     np.subtract(sums[GRAM:], sums[:grams], out=packed)
