@@ -15,9 +15,6 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Matches are told apart up to this length; longer ones are given as at least this.
-DEPTH = 128
-
 
 def packed(text: np.ndarray) -> tuple[np.ndarray, int, int]:
     """As many symbols from each position on as a word of 63 bits holds, zeros after the end; with that number and a symbol's bits."""
@@ -32,10 +29,12 @@ def packed(text: np.ndarray) -> tuple[np.ndarray, int, int]:
     return key, known, bits
 
 
-def suffix_order(key: np.ndarray, known: int, depth: int = DEPTH) -> np.ndarray:
-    """Positions in the order of the suffixes, by their first ``depth`` symbols at least; key holds the first ``known`` of each.
+def suffix_order(key: np.ndarray, known: int) -> np.ndarray:
+    """Positions in the order of the suffixes; key holds the first ``known`` symbols of each.
 
-    A rank is the first place of equal suffixes, so it stays as those are told apart by more symbols.
+    A rank is the first place of suffixes that are equal so far, so it stays as
+    those are told apart by more symbols.  All must be: where two were in
+    either order, a row would step to the place of another text position.
     """
     n = len(key)
     order = np.argsort(key)
@@ -45,7 +44,7 @@ def suffix_order(key: np.ndarray, known: int, depth: int = DEPTH) -> np.ndarray:
     np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
     del ranked
     rank = np.zeros(n, np.uint32)
-    while known < depth:
+    while True:
         first = np.flatnonzero(new)
         rank[order] = np.repeat(first, np.diff(np.append(first, n)))
         tied = np.flatnonzero(~(new & np.append(new[1:], True)))
@@ -54,7 +53,9 @@ def suffix_order(key: np.ndarray, known: int, depth: int = DEPTH) -> np.ndarray:
         at = order[tied]
         pair = rank[at].astype(np.uint64) << np.uint64(32)
         inside = at + known < n
-        pair[inside] |= rank[at[inside] + known] + np.uint64(1)
+        # One that has ended comes before those that go on with zeros.
+        pair[~inside] |= (n - at[~inside]).astype(np.uint64)
+        pair[inside] |= rank[at[inside] + known] + np.uint64(known + 1)
         by = np.argsort(pair)
         pair = pair[by]
         order[tied] = at[by]

@@ -5,21 +5,24 @@ with a smaller id.  Documents lie in shards: ranges of ids of about equal
 bytes, so an earlier shard means a smaller id.
 
 1. Each shard parts all 50-byte windows into groups by their anchor (see
-   window_groups) and sends the hashes of its distinct groups.
+   window_groups) and sends the hashes of its distinct groups and their sides.
 2. By anchor it is found which groups also occur in an earlier shard - all
-   their windows go - and which anchors have groups of different bytes: only
-   there can windows be equal in part.
+   their windows go - and which share a side with one of different bytes: a
+   common window holds the anchor and at least half of what it has beside it on
+   one side, so only those can have windows in common.  Grams that texts share
+   by chance, of which there are ever more in more texts, are done here.
 3. Each shard sends the spans that are decided, and the bytes of the first
    occurrence of each undecided group, with the list of the other places the
    group has in that document or in rows that repeat its id: what is found of
    the one sent goes at all of them.
-4. A common window holds the anchor and at least half of what it has beside
-   it on one side, so a group that shares neither half with another group of
-   its anchor is done.  The others of one anchor are ranked by document.  For each binary
-   digit of the rank a run-length index is built of the groups with digit 0,
-   and those with digit 1 are streamed against the index of their own higher
+4. The undecided groups of one anchor are ranked by document.  For each binary
+   digit of the rank a run-length index is built of groups with digit 0, and
+   those with digit 1 are streamed against the index of their own higher
    digits: their matching statistics tell which windows start in an earlier
-   document.  So each group meets exactly all groups before it.
+   document.  Any two groups meet at one digit.  The hashes of the windows tell
+   which must: a group and the first ones that have its first and its last
+   window of those found before it.  A group of which the index does not find
+   both meets all groups before it.
    An anchor with more bytes of undecided groups than one index may hold is
    too common for one task: its windows are dealt by their own hashes instead.
 5. The documents are dealt to their shards again, and the spans are cut out.
@@ -43,12 +46,12 @@ from pyspark.sql import functions as F
 from amihan.llm.common import block_of, give_back, raw_bytes, ship_package, stored
 from amihan.llm.run_index import RunIndex
 from amihan.llm.shingles import mix
-from amihan.llm.window_groups import GRAM, POWER, Groups, window_groups
+from amihan.llm.window_groups import GRAM, POWER, Groups, powers, window_groups
 from amihan.operators.skew import hot_groups, join_groups
 
 SHARD_BYTES = 20 << 20
 #: Bytes hashed at once; longer texts are cut into pieces that overlap by a window.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 256 << 10
 #: Bytes of undecided groups in one index, about; an anchor with more is dealt by windows.
 INDEX_BYTES = 12 << 20
 #: Bytes of groups in one task's index at a time, about; an anchor is never cut.
@@ -115,7 +118,7 @@ def _all_groups(texts: list[memoryview], length: int) -> Groups:
     for data, borders, docs, places in _pieces(texts, length):
         g = window_groups(np.frombuffer(data, np.uint8), borders, length)
         doc, start = (docs[g.doc], g.start - borders[g.doc] + places[g.doc]) if len(g.start) else (g.doc, g.start)
-        parts.append((doc, start, g.windows, g.anchor, g.content, g.place))
+        parts.append((doc, start, g.windows, g.anchor, g.content, g.place, g.before, g.after))
     if not parts:
         return window_groups(np.empty(0, np.uint8), np.zeros(1, np.int64), length)
     return Groups(*(np.concatenate(c) for c in zip(*parts)))
@@ -159,44 +162,64 @@ def _hashes(data: list[bytes | None], kind: str) -> np.ndarray:
 
 def send_groups(length: int, buckets: int):
     """Step 1: of each shard the distinct groups, packed by bucket."""
-    schema = pa.schema([("bucket", pa.int32()), ("shard", pa.int32()), ("anchors", pa.binary()), ("contents", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("shard", pa.int32()), ("contents", pa.binary()), ("befores", pa.binary()), ("afters", pa.binary())])
 
     def run(docs: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
         texts = [t for batch in docs.to_batches() for t in raw_bytes(batch, "text")]
         g = _all_groups(texts, length)
-        contents, first = np.unique(g.content, return_index=True)
-        anchors = g.anchor[first]
-        bucket = anchors % np.uint32(buckets)
-        order = np.argsort(bucket, kind="stable")
-        borders = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        # Groups of one content have one anchor and equal sides.
+        order = np.argsort(g.content)
+        content = g.content[order]
+        order = order[np.concatenate(([True], content[1:] != content[:-1]))] if len(order) else order
+        bucket = g.anchor[order] % np.uint32(buckets)
+        by = np.argsort(bucket, kind="stable")
+        order, borders = order[by], np.searchsorted(bucket[by], np.arange(buckets + 1))
+        sent = [x[order] for x in (g.content, g.before, g.after)]
         shard = docs.column("shard")[0].as_py()
-        rows = [(b, shard, anchors[order[x:y]].tobytes(), contents[order[x:y]].tobytes()) for b, (x, y) in enumerate(zip(borders, borders[1:])) if y > x]
+        rows = [(b, shard, *(s[x:y].tobytes() for s in sent)) for b, (x, y) in enumerate(zip(borders, borders[1:])) if y > x]
         return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
     return run
 
 
+def _repeated(side: np.ndarray) -> np.ndarray:
+    """Whether a group has a side, and another one has the same."""
+    order = np.argsort(side)
+    same = side[order]
+    same = (same[1:] == same[:-1]) & (same[1:] != 0)
+    out = np.zeros(len(side), bool)
+    out[order[1:]] = same
+    out[order[:-1]] |= same
+    return out
+
+
 def decide(rows: pa.Table) -> pa.Table:
-    """Step 2: for each shard the groups of a bucket that an earlier shard has, and its first ones that stay undecided."""
+    """Step 2: for each shard the groups of a bucket that an earlier shard has, and its first ones that stay undecided.
+
+    A group of which no other one of different bytes has a side is done.  Equal
+    hashes of different sides leave a group undecided in vain.
+    """
     schema = pa.schema([("shard", pa.int32()), ("gone", pa.binary()), ("undecided", pa.binary())])
     rows = rows.sort_by("shard")
-    anchors, contents = _hashes(rows.column("anchors").to_pylist(), "<u4"), _hashes(rows.column("contents").to_pylist(), "<u8")
-    counts = [len(c) // 8 for c in rows.column("contents").to_pylist()]
+    contents, befores, afters = (_hashes(rows.column(c).to_pylist(), kind) for c, kind in (("contents", "<u8"), ("befores", "<u4"), ("afters", "<u4")))
+    counts = pa.compute.binary_length(rows.column("contents")).to_numpy() // 8
     shards = np.repeat(rows.column("shard").to_numpy(), counts)
     # Stable: of equal groups the earliest shard's is first.
     order = np.argsort(contents, kind="stable")
-    anchors, contents, shards = anchors[order], contents[order], shards[order]
-    first = np.concatenate(([True], contents[1:] != contents[:-1]))
-    _, which, sizes = np.unique(anchors[first], return_inverse=True, return_counts=True)
-    undecided = first.copy()
-    undecided[first] = sizes[which] > 1
+    same = contents[order]
+    first = np.concatenate(([True], same[1:] != same[:-1]))
+    gone, firsts = order[~first], order[first]
+    open_ = firsts[_repeated(befores[firsts]) | _repeated(afters[firsts])]
+    # Groups lie in the order of shards.
+    gone, open_ = np.sort(gone), np.sort(open_)
+    named = np.unique(shards)
+    borders = [np.searchsorted(shards[x], np.append(named, named[-1:] + 1)) for x in (gone, open_)]
     out = []
-    for shard in np.unique(shards):
-        own = shards == shard
-        gone, open_ = contents[own & ~first], contents[own & undecided]
-        if len(gone) or len(open_):
-            out.append((int(shard), gone.tobytes(), open_.tobytes()))
+    for i, shard in enumerate(named.tolist()):
+        g, o = (contents[x[at[i] : at[i + 1]]] for x, at in zip((gone, open_), borders))
+        if len(g) or len(o):
+            out.append((shard, g.tobytes(), o.tobytes()))
     return pa.Table.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
@@ -290,6 +313,33 @@ def _shares_a_side(data: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, a
     return out
 
 
+def _likely(data: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, anchor: np.ndarray, rank: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, window, group): the first and the last window of a group whose hash a group of lower rank has, and the first such group.
+
+    Groups come in the order of anchors and ranks.
+    """
+    ends = np.cumsum(lengths)
+    source = np.repeat(offsets - ends + lengths, lengths)
+    source += np.arange(len(source))
+    sums = np.zeros(len(source) + 1, np.uint64)
+    np.cumsum((data[source] + np.uint64(1)) * powers(len(source), POWER), out=sums[1:])
+    n = lengths - length + 1
+    group = np.repeat(np.arange(len(n)), n)
+    place = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
+    start = np.repeat(ends - lengths, n) + place
+    key = mix((sums[start + length] - sums[start]) * powers(len(source), pow(POWER, -1, 1 << 64))[start])
+    # Stable: of equal windows of an anchor the one of the lowest rank is first.
+    order = np.argsort(key, kind="stable")
+    key, of = key[order], anchor[group[order]]
+    new = np.concatenate(([True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])))
+    owner = np.empty(len(key), np.int64)
+    owner[order] = group[order[new]][np.cumsum(new) - 1]
+    some = np.flatnonzero(rank[owner] < rank[group])
+    ends = np.concatenate(([True], group[some][1:] != group[some][:-1]))
+    some = np.concatenate([some[ends], some[np.append(ends[1:], True)]]) if len(some) else some
+    return group[some], place[some], owner[some]
+
+
 def match_groups(length: int):
     """Step 4: which windows of a bucket's undecided groups start in an earlier document, at each place of the group.
 
@@ -339,34 +389,46 @@ def match_groups(length: int):
             symbols = data[np.minimum(offsets[some][:, None] + within, len(data) - 1)] + (257 * block + 1)[:, None]
             return np.where(within < lengths[some][:, None], symbols, 0)
 
+        def meet(asking: np.ndarray, held: np.ndarray, digit: int) -> None:
+            """Streams groups with the digit 1 against an index of those of their blocks with 0."""
+            asked, kept = rank[asking] >> (digit + 1), rank[held] >> (digit + 1)
+            # Most anchors have one block only; apart from the others, symbols are bytes and sort faster.
+            for first_block in (True, False):
+                stream, own = asking[(asked == 0) == first_block], held[(kept == 0) == first_block]
+                if not len(stream) or not len(own):
+                    continue
+                index = RunIndex(joined(own, rank[own] >> (digit + 1)))
+                stream = stream[np.argsort(-lengths[stream], kind="stable")]
+                for at in range(0, len(stream), STREAMED):
+                    some = stream[at : at + STREAMED]
+                    hits = index.matching_statistics(rows_of(some, rank[some] >> (digit + 1)), lengths[some]) >= length
+                    any_ = hits.any(axis=1)
+                    some, hits = some[any_], hits[any_]
+                    low[some] = np.minimum(low[some], hits.argmax(axis=1))
+                    high[some] = np.maximum(high[some], hits.shape[1] - 1 - hits[:, ::-1].argmax(axis=1) + length)
+
         firsts = np.flatnonzero(new)
         sizes = np.add.reduceat(lengths[order], firsts)
         slices = (np.cumsum(sizes) - sizes) // INDEXED
         borders = np.append(firsts[np.flatnonzero(np.concatenate(([True], slices[1:] != slices[:-1])))], len(order))
         for x, y in zip(borders.tolist(), borders[1:].tolist()):
             members = order[x:y]
-            ranks = rank[members]
-            for digit in range(int(ranks.max()).bit_length()):
-                block = ranks >> (digit + 1)
-                asks = (ranks >> digit & 1) == 1
-                # Only groups of an anchor and block that is asked for need be in the index.
-                pair = anchor[members] << 31 | block
-                held = ~asks & np.isin(pair, pair[asks])
-                # Most anchors have one block only; apart from the others, symbols are bytes and sort faster.
-                for part in (block == 0, block > 0):
-                    stream = np.flatnonzero(asks & part)
-                    if not len(stream):
-                        continue
-                    index = RunIndex(joined(members[held & part], block[held & part]))
-                    stream = stream[np.argsort(-lengths[members[stream]], kind="stable")]
-                    for at in range(0, len(stream), STREAMED):
-                        own = stream[at : at + STREAMED]
-                        some = members[own]
-                        hits = index.matching_statistics(rows_of(some, block[own]), lengths[some]) >= length
-                        any_ = hits.any(axis=1)
-                        some, hits = some[any_], hits[any_]
-                        low[some] = np.minimum(low[some], hits.argmax(axis=1))
-                        high[some] = np.maximum(high[some], hits.shape[1] - 1 - hits[:, ::-1].argmax(axis=1) + length)
+            asking, at, held = _likely(data, offsets[members], lengths[members], anchor[members], rank[members], length)
+            if not len(asking):
+                continue
+            asks, holds = members[asking], members[held]
+            # Ranks are below 2 ** 53, so the exponent is the highest digit that differs.
+            digits = np.frexp((rank[asks] ^ rank[holds]).astype(np.float64))[1] - 1
+            for digit in np.unique(digits).tolist():
+                some = digits == digit
+                meet(np.unique(asks[some]), np.unique(holds[some]), digit)
+            # Equal hashes of different windows: the group meets all groups before it.
+            left = np.unique(asks[(low[asks] > at) | (high[asks] < at + length)])
+            for digit in range(int(rank[left].max()).bit_length() if len(left) else 0):
+                some = left[(rank[left] >> digit & 1) == 1]
+                own = members[(rank[members] >> digit & 1) == 0]
+                pair = anchor[own] << 31 | rank[own] >> (digit + 1)
+                meet(some, own[np.isin(pair, anchor[some] << 31 | rank[some] >> (digit + 1))], digit)
         group = np.flatnonzero(high)
         begin, end = low[group], high[group]
         n = n_more[group]
@@ -444,7 +506,7 @@ def remove_repeats(
     dealt = rows.withColumn("shard", shard.cast("int"))
     buckets = len(shard_ends)
     sent = dealt.select("shard", "text").groupBy("shard").applyInArrow(
-        send_groups(length, buckets), "bucket int, shard int, anchors binary, contents binary"
+        send_groups(length, buckets), "bucket int, shard int, contents binary, befores binary, afters binary"
     )
     replies = sent.groupBy("bucket").applyInArrow(decide, "shard int, gone binary, undecided binary")
     replies = stored(replies.select(F.col("shard").alias("to"), "gone", "undecided"), "repeat-replies", free=True)

@@ -32,7 +32,13 @@ def powers(n: int, base: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Groups:
-    """Per group: its document, first window, number of windows, hashes of its anchor and of all its bytes, and the anchor's place in it."""
+    """Per group: its document, first window, number of windows, hashes of its anchor and of all its bytes, and the anchor's place in it.
+
+    Beside them hashes of the anchor with what is before and after it, half as
+    long as a window has beside its anchor; 0 where the group has less there.
+    Every window has one of them whole, so groups that share neither share no
+    window.
+    """
 
     doc: np.ndarray
     start: np.ndarray
@@ -40,6 +46,8 @@ class Groups:
     anchor: np.ndarray
     content: np.ndarray
     place: np.ndarray
+    before: np.ndarray
+    after: np.ndarray
 
 
 def window_groups(data: np.ndarray, offsets: np.ndarray, length: int) -> Groups:
@@ -47,7 +55,8 @@ def window_groups(data: np.ndarray, offsets: np.ndarray, length: int) -> Groups:
     n = len(data)
     none = np.empty(0, np.int64)
     if n < length:
-        return Groups(none, none, none, np.empty(0, np.uint32), np.empty(0, np.uint64), np.empty(0, np.int32))
+        small = np.empty(0, np.uint32)
+        return Groups(none, none, none, small, np.empty(0, np.uint64), np.empty(0, np.int32), small, small)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
     product = data.astype(np.uint64)
@@ -88,7 +97,15 @@ def window_groups(data: np.ndarray, offsets: np.ndarray, length: int) -> Groups:
     ends = np.minimum(following, stops[np.searchsorted(stops, start, side="right")]) if len(start) else start
     doc = np.searchsorted(offsets, start, side="right") - 1
     anchor = (least[start] >> np.uint64(32)).astype(np.uint32)
-    place = ((least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64) - start).astype(np.int32)
+    at = (least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     last = ends + length - 1
     content = mix((sums[last] - sums[start]) * back[start] + (ends - start).astype(np.uint64))
-    return Groups(doc, start, ends - start, anchor, content, place)
+    half = (length - GRAM + 1) // 2
+
+    def side(begin: np.ndarray, there: np.ndarray) -> np.ndarray:
+        begin = np.where(there, begin, start)
+        found = mix((sums[begin + half + GRAM] - sums[begin]) * back[begin]) >> np.uint64(32)
+        return np.where(there, np.maximum(found, 1), 0).astype(np.uint32)
+
+    before, after = side(at - half, at - half >= start), side(at, at + GRAM + half <= last)
+    return Groups(doc, start, ends - start, anchor, content, (at - start).astype(np.int32), before, after)

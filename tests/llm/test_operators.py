@@ -238,6 +238,77 @@ def test_groups_that_share_no_side_of_their_anchor_are_left_out():
     assert not suffix_dedup._shares_a_side(np.frombuffer(b"a" * 60 + b"b" * 60, np.uint8), np.array([0, 60]), np.array([60, 60]), np.zeros(2, np.int64), np.array([20, 20]), 50).any()
 
 
+def test_grams_shared_by_chance_leave_groups_decided(spark, monkeypatch):
+    """Of texts that have one gram in common, but neither side of it, no group is sent to the index."""
+    kept, stored = [], suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, *a, **k: kept.append(stored(df, *a, **k)) or kept[-1])
+    pick = random.Random(11)
+    letters = lambda n: "".join(pick.choice("abcdefgh") for _ in range(n))
+    gram = letters(20)
+    rows = [(i, letters(200) + gram + letters(200), "en", "a") for i in range(60)]
+    shared = letters(55)
+    rows += [(100, letters(90) + shared + letters(90), "en", "a"), (101, letters(90) + shared + letters(90), "en", "a")]
+    out = suffix_dedup.remove_repeats(documents(spark, rows), shard_bytes=5_000)
+    assert Counter(tuple(r) for r in out.collect()) == Counter(brute_repeats(rows, 50))
+    marked = next(df for df in kept if "text" in df.columns)
+    assert {r["key"] for r in marked.where("kind = 1").select("key").collect()} <= {100, 101}
+
+
+def brute_groups(rows, length):
+    first = {}
+    for r in rows:
+        for i in range(len(r["text"]) - length + 1):
+            at = (r["anchor"], r["text"][i : i + length])
+            first[at] = min(first.get(at, math.inf), r["key"])
+    out = []
+    for r in rows:
+        found = [i for i in range(len(r["text"]) - length + 1) if first[r["anchor"], r["text"][i : i + length]] < r["key"]]
+        if found:
+            places = [(r["uid"], r["begin"]), *zip(r["more_uids"] or [], r["more_starts"] or [])]
+            out += [(uid, at + found[0], at + found[-1] + length) for uid, at in places]
+    return Counter(out)
+
+
+@pytest.mark.parametrize("bits", [64, 9, 0])
+def test_index_step_equals_brute_force_whatever_hashes_collide(monkeypatch, bits):
+    """Windows of equal hashes only say which groups meet; the index decides."""
+    import numpy as np
+    import pyarrow as pa
+
+    mix = suffix_dedup.mix
+    monkeypatch.setattr(suffix_dedup, "mix", lambda x: mix(x) & np.uint64((1 << bits) - 1))
+    pick = random.Random(6)
+    letters = lambda n: bytes(pick.choice(b"ab") for _ in range(n))
+    rows = []
+    for anchor in range(12):
+        gram, sides = letters(20), [letters(30) for _ in range(4)]
+        for i in range(pick.choice((1, 2, 9, 40))):
+            before, after = pick.choice(sides), pick.choice(sides)
+            before, after = letters(n := pick.choice((0, 3, 12))) + before[n:], after[: 30 - (n := pick.choice((0, 3, 12)))] + letters(n)
+            cut, end = pick.randint(0, 15), pick.randint(0, 15)
+            more = [1 << 40, 2 << 40] if i % 5 == 0 else None
+            rows.append(dict(uid=len(rows), begin=pick.randint(0, 99), text=before[cut:] + gram + after[: 30 - end], anchor=anchor, place=30 - cut, key=pick.randint(0, 30), more_uids=more, more_starts=more and [5, 7]))
+    pick.shuffle(rows)
+    kinds = {"text": pa.binary(), "place": pa.int32(), "more_uids": pa.list_(pa.int64()), "more_starts": pa.list_(pa.int64())}
+    table = pa.table({c: pa.array([r[c] for r in rows], kinds.get(c, pa.int64())) for c in rows[0]})
+    got = suffix_dedup.match_groups(50)(table)
+    assert Counter(zip(*(got.column(c).to_pylist() for c in ("uid", "begin", "end")))) == brute_groups(rows, 50)
+
+
+def test_suffixes_are_told_apart_to_their_ends():
+    """Suffixes of long equal passages; in either order, rows would step to the places of others."""
+    import numpy as np
+
+    from amihan.llm.run_index import packed, suffix_order
+
+    pick = random.Random(9)
+    for size in (100, 160, 700):
+        passage = [pick.randint(1, 90) for _ in range(size)]
+        text = [x for i in range(6) for x in [*passage, 91 + pick.randint(0, 5), i + 1]] + [0]
+        key, known, _ = packed(RunIndex(np.array(text)).text)
+        assert suffix_order(key, known).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+
+
 def test_suffix_order_and_shared_lengths_equal_brute_force():
     import numpy as np
 
