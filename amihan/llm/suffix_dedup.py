@@ -318,16 +318,25 @@ def _likely(data: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, anchor:
 
     Groups come in the order of anchors and ranks.
     """
-    ends = np.cumsum(lengths)
-    source = np.repeat(offsets - ends + lengths, lengths)
-    source += np.arange(len(source))
-    sums = np.zeros(len(source) + 1, np.uint64)
-    np.cumsum((data[source] + np.uint64(1)) * powers(len(source), POWER), out=sums[1:])
     n = lengths - length + 1
     group = np.repeat(np.arange(len(n)), n)
     place = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
-    start = np.repeat(ends - lengths, n) + place
-    key = mix((sums[start + length] - sums[start]) * powers(len(source), pow(POWER, -1, 1 << 64))[start])
+    # Powers count from the begin of each group.
+    most = int(lengths.max())
+    times, back = powers(most, POWER), powers(most, pow(POWER, -1, 1 << 64))
+    keys = []
+    for x in range(0, len(n), COPIED):
+        size, own = lengths[x : x + COPIED], n[x : x + COPIED]
+        ends = np.cumsum(size)
+        within = np.arange(ends[-1]) - np.repeat(ends - size, size)
+        product = data[np.repeat(offsets[x : x + COPIED], size) + within] + np.uint64(1)
+        product *= times[within]
+        sums = np.zeros(len(product) + 1, np.uint64)
+        np.cumsum(product, out=sums[1:])
+        inside = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        start = np.repeat(ends - size, own) + inside
+        keys.append(mix((sums[start + length] - sums[start]) * back[inside]))
+    key = np.concatenate(keys)
     # Stable: of equal windows of an anchor the one of the lowest rank is first.
     order = np.argsort(key, kind="stable")
     key, of = key[order], anchor[group[order]]
@@ -518,7 +527,8 @@ def remove_repeats(
     by_windows = not common.isEmpty()
     indexed = groups.join(common, "anchor", "left_anti") if by_windows else groups
     size = indexed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = size // index_bytes + 1
+    # Several for each index, so that tasks are even.
+    parts = 4 * (size // index_bytes + 1)
     found = indexed.withColumn("bucket", F.pmod("anchor", F.lit(parts))).groupBy("bucket")
     found = found.applyInArrow(match_groups(length), "uid bigint, begin bigint, end bigint")
     if by_windows:
